@@ -119,14 +119,13 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, WHITE), lambda w: w != "")
 
 
-def term_table(rows: DataFrame, min_contexts: int = MIN_CONTEXTS, slack_bits: float = SLACK_BITS,
+def term_table(rows: DataFrame, near: DataFrame, min_contexts: int = MIN_CONTEXTS, slack_bits: float = SLACK_BITS,
                context_words: int = CONTEXT_WORDS) -> DataFrame:
     """(term, posterior, pmi, ic): the corpus's disclosing terms.
 
-    rows: text, spans. A term is a white-space word; a context is the `context_words` words on either
-    side of a mention.
+    rows: _lk_row, text of every document; near: the same and spans, of those that mention an entity.
+    A term is a white-space word; a context is the `context_words` words on either side of a mention.
     """
-    near = rows.where(F.size("spans") > 0)
     mention = near.select("_lk_row", "text", F.explode("spans").alias("s"))
     reach = 40 * context_words  # code points looked at on either side
     before = F.substring("text", F.greatest(F.col("s.start") - reach, F.lit(0)) + 1, F.least(F.col("s.start"), F.lit(reach)))
@@ -143,7 +142,14 @@ def term_table(rows: DataFrame, min_contexts: int = MIN_CONTEXTS, slack_bits: fl
     pairs = (seen.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
              .where(F.col("contexts") >= min_contexts))
-    pairs = written(pairs)
+    entities = near.select("_lk_row", F.explode("spans").alias("s")).select("_lk_row", entity.alias("entity")).distinct()
+    entity_docs = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    # n_both <= n_entity and n_term >= the term's documents beside any mention: what can't reach the
+    # threshold by these bounds is left out before anything is counted over the corpus.
+    beside = seen.select("_lk_row", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_beside"))
+    pairs = written(pairs.join(entity_docs, "entity").join(beside, "term")
+                    .where(F.log2(F.col("n_entity") / F.col("n_beside")) >= -slack_bits)
+                    .select("entity", "term"))
     terms = pairs.select("term").distinct()
     few = terms.limit(BROADCAST_TERMS + 1).count()
     if not few:
@@ -152,10 +158,8 @@ def term_table(rows: DataFrame, min_contexts: int = MIN_CONTEXTS, slack_bits: fl
     words = rows.select("_lk_row", F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
     held = words.join(side, "term")
     term_docs = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    entities = near.select("_lk_row", F.explode("spans").alias("s")).select("_lk_row", entity.alias("entity")).distinct()
     known = pairs.select("entity").distinct()
     entities = entities.join(F.broadcast(known) if few <= BROADCAST_TERMS else known, "entity")
-    entity_docs = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     both = (held.join(entities, "_lk_row").join(pairs.select("entity", "term"), ["entity", "term"])
             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")))
     total = rows.agg(F.count(F.lit(1)).alias("n_all"))
@@ -174,8 +178,9 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits
     data = df.withColumns({text: F.coalesce(F.col(quoted(text_col)), F.lit(""))})
     data = data.withColumn(base, base_spans(F.col(text)))
     row_key = F.xxhash64(F.col(quoted(id_col)), F.col(text))
-    lean = data.where(F.lit(True)).select(row_key.alias("_lk_row"), F.col(text).alias("text"), F.col(base).alias("spans"))
-    terms = written(term_table(lean, **limits))
+    lean = data.select(row_key.alias("_lk_row"), F.col(text).alias("text"))
+    near = written(data.select(row_key.alias("_lk_row"), F.col(text).alias("text"), F.col(base).alias("spans")).where(F.size("spans") > 0))
+    terms = written(term_table(lean, near, **limits))
     n = terms.limit(BROADCAST_TERMS + 1).count()
     if not n:
         return data.withColumns({added: F.array().cast("array<struct<start:int,kind:int,end:int,value:string,posterior:double>>")}).select(
