@@ -55,3 +55,65 @@ def id_text(df: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+#: Rows of a broadcast side: about 32 MB. Beyond it the same join is a shuffled one.
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df, to be broadcast if it has at most `rows` rows. df should be cheap to count (a written table)."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def text_key(text):
+    """128 bits that tell texts apart."""
+    return [F.xxhash64(text, F.lit(11)).alias("_lk_k1"), F.xxhash64(text, F.lit(12)).alias("_lk_k2")]
+
+
+def with_first(rows: DataFrame) -> DataFrame:
+    """rows(doc_id, text, ...) plus first (the least id with the same text) and copies (how many have it)."""
+    groups = (rows.select("doc_id", *text_key("text")).groupBy("_lk_k1", "_lk_k2")
+              .agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1"))
+    groups = bounded(written(groups))
+    held = rows.select("*", *text_key("text")).join(groups, ["_lk_k1", "_lk_k2"], "left").drop("_lk_k1", "_lk_k2")
+    return held.withColumns({"first": F.coalesce("first", "doc_id"), "copies": F.coalesce("copies", F.lit(1).cast("long"))})
+
+
+def hot_salted(rows: DataFrame, counts: DataFrame, key: str, n: str, spread: str, salts: int = 64) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a column _lk_salt that deals rows of hot keys over `salts` tasks.
+
+    A key is hot if it has over a thousandth of all counted rows, so at most 1000 keys are broadcast.
+    """
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    hot = counts.where(F.col(n) > max(1_000, total // 1_000)).select(key)
+    names = hot.select(F.col(key).alias("_lk_hot"))
+    left = (rows.join(F.broadcast(names), F.col(key) == F.col("_lk_hot"), "left")
+            .withColumn("_lk_salt", F.when(F.col("_lk_hot").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))).drop("_lk_hot"))
+    right = (counts.join(F.broadcast(names), F.col(key) == F.col("_lk_hot"), "left")
+             .withColumn("_lk_salt", F.explode(F.when(F.col("_lk_hot").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(salts - 1))))).drop("_lk_hot"))
+    return left, right
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(id, root) of every vertex of edges (a, b): root is the least id it is connected to.
+
+    Alternating large-star and small-star rounds, each written to the shared folder; every round only
+    groups by vertex with partial aggregation, and a star's centre is its least neighbour.
+    """
+    links = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
+    seen = None
+    while True:
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        down = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(down, "u")
+        links_next = (small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                      .unionByName(down.select("u", F.col("m").alias("v"))).where("u != v").distinct())
+        links = written(links_next)
+        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if tuple(state) == seen:
+            break
+        seen = tuple(state)
+    return links.select(F.col("u").alias("id"), F.col("v").alias("root"))

@@ -252,3 +252,29 @@ class PieceCoder:
             pos = np.searchsorted(self.keys, unique)
         which = pos[inverse]
         return self.ids[gather(self.at, self.len, which)], self.len[which]
+
+
+def decoded(buf: np.ndarray, offsets: np.ndarray) -> tuple[str, np.ndarray]:
+    """The slice as one string, and the row offsets in code points."""
+    lead = np.zeros(len(buf) + 1, np.int64)
+    np.cumsum((buf & 0xC0) != 0x80, out=lead[1:])
+    return buf.tobytes().decode("utf-8", "replace"), lead[offsets]
+
+
+@functools.cache
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for 256 onwards."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    table = {b: chr(b) for b in shown}
+    table.update({b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in table)})
+    return table
+
+
+def model_ids(tokenizer) -> Callable[[list[str]], list]:
+    """Ids of pre-tokens by the library's byte-level model."""
+    model, letters = tokenizer.model, byte_letters()
+
+    def encode(pieces: list[str]) -> list:
+        return [[t.id for t in model.tokenize(p.encode().decode("latin-1").translate(letters))] for p in pieces]
+
+    return encode

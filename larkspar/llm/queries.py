@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, pii
+import public_tokenizers
+
+from . import bpe, exact_dedup, fingerprint, packing, pii, substring, wavelet
 from ._common import documents
 
 QUERIES: dict = {}
@@ -31,3 +33,28 @@ FROM (SELECT doc_id, coalesce(text, '') AS t,
              count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size
       FROM documents)
 """
+
+
+@_query
+def op2_wavelet_ids(spark, sf_dir):
+    return wavelet.encoded_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op5_substring_dedup(spark, sf_dir):
+    return substring.duplicate_words(documents(spark, sf_dir))
+
+
+@_query
+def op7_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op8_fingerprints(spark, sf_dir):
+    return fingerprint.edited_report(documents(spark, sf_dir))
+
+
+@_query
+def op9_byte_bpe(spark, sf_dir):
+    return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
