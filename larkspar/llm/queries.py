@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, exact_dedup, fingerprint, packing, pii, substring, wavelet
+from . import bpe, exact_dedup, fingerprint, lm, ngram_jaccard, packing, pii, substring, toxicity, wavelet
 from ._common import documents
 
 QUERIES: dict = {}
@@ -58,3 +58,18 @@ def op8_fingerprints(spark, sf_dir):
 @_query
 def op9_byte_bpe(spark, sf_dir):
     return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@_query
+def op1_ngram_jaccard(spark, sf_dir):
+    return ngram_jaccard.similar_groups(documents(spark, sf_dir))
+
+
+@_query
+def op4_lm_scores(spark, sf_dir):
+    return lm.score_texts(documents(spark, sf_dir))
+
+
+@_query
+def op6_toxicity(spark, sf_dir):
+    return toxicity.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
