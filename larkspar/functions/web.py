@@ -9,6 +9,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import redact, spaced, trimmed
 
@@ -120,7 +121,7 @@ def entities(x: Column) -> Column:
     return x
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def numeric_entities(column: pd.Series) -> pd.Series:
     def one(m: re.Match) -> str:
         n = int(m[1][1:], 16) if m[1][0] in "xX" else int(m[1])
@@ -227,7 +228,8 @@ def parse_robots(body: str) -> list[dict]:
     return groups
 
 
-ROBOTS = "array<struct<agents:array<string>,rules:array<struct<allow:boolean,pattern:string>>,delay:double>>"
+_RULES = T.ArrayType(T.StructType().add("allow", T.BooleanType()).add("pattern", T.StringType()))
+ROBOTS = T.ArrayType(T.StructType().add("agents", T.ArrayType(T.StringType())).add("rules", _RULES).add("delay", T.DoubleType()))
 
 
 @F.udf(ROBOTS, useArrow=True)
@@ -268,7 +270,7 @@ def resolve_charset(body: bytes, content_type: str | None) -> tuple[str, str]:
         return "windows-1252", "FALLBACK"
 
 
-@F.udf("struct<charset:string,source:string,text:string>", useArrow=True)
+@F.udf(T.StructType().add("charset", T.StringType()).add("source", T.StringType()).add("text", T.StringType()), useArrow=True)
 def decoded_body(body, content_type):
     if body is None:
         return None
@@ -296,7 +298,7 @@ def is_public_v4(address: Column) -> Column:
     return ~inside
 
 
-@F.udf("boolean", useArrow=True)
+@F.udf(T.BooleanType(), useArrow=True)
 def is_public_address(text):
     """IPv4, IPv6 and IPv4 mapped into IPv6."""
     try:
@@ -323,7 +325,7 @@ def parse_sitemap(body: str) -> tuple[str, list[str]]:
     return kind, [e.text.strip() for e in root.iter() if e.tag.rpartition("}")[2] == "loc" and (e.text or "").strip()]
 
 
-@F.udf("struct<kind:string,locs:array<string>>", useArrow=True)
+@F.udf(T.StructType().add("kind", T.StringType()).add("locs", T.ArrayType(T.StringType())), useArrow=True)
 def sitemap(body):
     kind, locs = parse_sitemap(body or "")
     return {"kind": kind, "locs": locs}
