@@ -40,7 +40,7 @@ def quota_sample(df: DataFrame, category: str, owner: str, key: str, quotas: dic
     pool = df.select(category, owner, key).where(F.col(category).isin(list(quotas))).withColumn("_n", F.row_number().over(per_owner)).where(F.col("_n") <= cap)
     need = sum(quotas.values())
     pool = pool.withColumn("_m", F.row_number().over(Window.partitionBy(category).orderBy((F.col(owner) != F.lit(priority)).cast("int") if priority is not None else F.lit(0), key)))
-    pool = pool.where(F.col("_m") <= need * (need + 1)).drop("_n", "_m")
+    pool = pool.where(F.col("_m") <= need * (need + 1)).drop("_n", "_m").withColumn("_all", F.lit(0))
 
     def pick(rows: pd.DataFrame) -> pd.DataFrame:
         used, out = {}, []
@@ -54,7 +54,7 @@ def quota_sample(df: DataFrame, category: str, owner: str, key: str, quotas: dic
                     out.append(i)
         return rows.loc[out]
 
-    return pool.groupBy(F.lit(0)).applyInPandas(pick, pool.schema)
+    return pool.groupBy("_all").applyInPandas(pick, pool.schema).drop("_all")
 
 
 def metrics(rows: DataFrame, gold: str, predicted: str, group: str | None = None) -> DataFrame:
