@@ -36,7 +36,7 @@ from ._common import bounded, id_text, written
 
 SHARD_BYTES = 12 << 20  # of training text
 BLOCK_BYTES = 96 << 20
-FLUSH = 1_500_000
+FLUSH = 1_000_000
 HELD_OUT = (7, 2)
 _U = np.uint64
 END = _U(0xA5B35705F00DFACE)
@@ -278,7 +278,7 @@ def _score(shared, stats: dict, low: int, high: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(shared.value)
         for batch in batches:
-            for i, j, buf, offsets in _vec.slices(batch.column("text"), 2 << 20):
+            for i, j, buf, offsets in _vec.slices(batch.column("text")):
                 h, first = tokens(buf, offsets)
                 distinct, inverse = np.unique(h, return_inverse=True)
                 shard = (distinct >> _U(64 - bits)).astype(np.int64)

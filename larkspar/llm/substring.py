@@ -34,7 +34,7 @@ WINDOW = 20
 GRAM = 10
 MAX_FILTER_BITS = 1 << 28  # 32 MB
 PAGE_BITS = 32_768
-FLUSH = 1_000_000
+FLUSH = 400_000
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
