@@ -175,8 +175,11 @@ def _features(buf: np.ndarray, offsets: np.ndarray, decoder: Decoder) -> tuple[n
         stop = np.cumsum(size)
         raw = np.frombuffer(b"".join(read), np.uint8)
         owner = np.array(owners, np.int64)
-        out_rows.append(owner[size > 0])
-        out.append(_vec.span_hashes(raw, (stop - size)[size > 0], stop[size > 0]))
+        for k in (0, *PREFIXES):
+            long = size > k
+            a, b = (stop - size)[long], stop[long]
+            out_rows.append(owner[long])
+            out.append(_vec.mix(_vec.span_hashes(raw, a, a + k) + _U(k)) if k else _vec.span_hashes(raw, a, b))
     row, h = np.concatenate(out_rows), np.concatenate(out)
     _, once = np.unique(_vec.mix(h + row.astype(_U) * _U(0x9E3779B97F4A7C15)), return_index=True)
     return row[once], h[once]
