@@ -124,8 +124,11 @@ class Decoder:
         return max((s + model[at][0], t) for at, (s, t) in states.items())[1]
 
 
-def _features(buf: np.ndarray, offsets: np.ndarray, decoder: Decoder) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature hash) of plain words, word beginnings and restored words; a feature counts once a row."""
+def _features(buf: np.ndarray, offsets: np.ndarray, decoder: Decoder, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, feature hash) of plain words, word beginnings and restored words, of those in `known` if it is given.
+
+    A feature counts once a row.
+    """
     low = _LOWER[buf]
     start, end, rows = _vec.word_bounds(low, offsets)
     if not len(start):
@@ -181,22 +184,35 @@ def _features(buf: np.ndarray, offsets: np.ndarray, decoder: Decoder) -> tuple[n
             out_rows.append(owner[long])
             out.append(_vec.mix(_vec.span_hashes(raw, a, a + k) + _U(k)) if k else _vec.span_hashes(raw, a, b))
     row, h = np.concatenate(out_rows), np.concatenate(out)
+    if known is not None:
+        hit = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h if len(known) else np.zeros(len(h), bool)
+        row, h = row[hit], h[hit]
     _, once = np.unique(_vec.mix(h + row.astype(_U) * _U(0x9E3779B97F4A7C15)), return_index=True)
     return row[once], h[once]
 
 
-def _support(shared):
-    """(feature, toxic rows, other rows) of the labelled rows of a task."""
+def _toxic_support(shared):
+    """(feature, toxic rows) over toxic rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(shared.value)
         for batch in batches:
-            toxic = np.array(batch.column("toxic"))
-            for i, _, buf, offsets in _vec.slices(batch.column("text")):
-                row, h = _features(buf, offsets, decoder)
-                keys, inverse = np.unique(h, return_inverse=True)
-                bad = np.bincount(inverse, toxic[i + row], len(keys)).astype(np.int64)
-                n = np.bincount(inverse, minlength=len(keys))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(bad), pa.array(n - bad)], ["feature", "bad", "good"])
+            for _, _, buf, offsets in _vec.slices(batch.column("text")):
+                keys, n = np.unique(_features(buf, offsets, decoder)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["feature", "bad"])
+
+    return run
+
+
+def _support(shared, candidates):
+    """(feature, rows) of the candidates over all labelled rows of a task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder, known = Decoder(shared.value), candidates.value
+        total = np.zeros(len(known), np.int64)
+        for batch in batches:
+            for _, _, buf, offsets in _vec.slices(batch.column("text")):
+                total += np.bincount(np.searchsorted(known, _features(buf, offsets, decoder, known)[1]), minlength=len(known))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(known[some].view(np.int64)), pa.array(total[some])], ["feature", "n"])
 
     return run
 
@@ -206,34 +222,33 @@ def _design(shared, features):
         decoder, known = Decoder(shared.value), features.value
         for batch in batches:
             for i, j, buf, offsets in _vec.slices(batch.column("text")):
-                row, h = _features(buf, offsets, decoder)
+                row, h = _features(buf, offsets, decoder, known)
                 at = np.searchsorted(known, h)
-                hit = (at < len(known)) & (known[np.minimum(at, len(known) - 1)] == h)
                 found: list[list[int]] = [[] for _ in range(j - i)]
-                for r, k in zip(row[hit].tolist(), at[hit].tolist()):
+                for r, k in zip(row.tolist(), at.tolist()):
                     found[r].append(k)
                 yield pa.RecordBatch.from_arrays([batch.column("toxic")[i:j], pa.array(found, pa.list_(pa.int32()))], ["toxic", "found"])
 
     return run
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 1_500) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by accelerated gradient descent."""
-    n, m = x.shape
-    w, b = np.zeros(m), float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
-    wide = np.concatenate([x, np.ones((n, 1), x.dtype)], axis=1)
+def logistic(row: np.ndarray, column: np.ndarray, m: int, y: np.ndarray, ridge: float = 0.05, steps: int = 1_500) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression over binary features, given as (row, column) places, by accelerated descent."""
+    n = len(y)
+    row, column = np.concatenate([row, np.arange(n)]), np.concatenate([column, np.full(n, m)])  # a last feature for the bias
+    ahead = lambda w: np.bincount(row, w[column], n)
+    back = lambda r: np.bincount(column, r[row], m + 1)
     v = np.ones(m + 1)
     for _ in range(30):  # the largest singular value bounds the step
-        v = wide.T @ (wide @ v)
+        v = back(ahead(v))
         v /= np.linalg.norm(v) + 1e-12
-    rate = 1 / (0.25 * np.linalg.norm(wide @ v) ** 2 + ridge)
-    p = np.append(w, b)
-    last, speed = p.copy(), 1.0
-    keep = np.append(np.full(m, ridge), 0.0)
+    rate = 1 / (0.25 * np.linalg.norm(ahead(v)) ** 2 + ridge)
+    p = np.append(np.zeros(m), np.log((y.sum() + 1) / (n - y.sum() + 1)))
+    last, speed, keep = p.copy(), 1.0, np.append(np.full(m, ridge), 0.0)
     for _ in range(steps):
         after = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
         q = p + (speed - 1) / after * (p - last)
-        gradient = wide.T @ (1 / (1 + np.exp(-np.clip(wide @ q, -30, 30))) - y) + keep * q
+        gradient = back(1 / (1 + np.exp(-np.clip(ahead(q), -30, 30))) - y) + keep * q
         last, p, speed = p, q - rate * gradient, after
     return p[:-1], float(p[-1])
 
@@ -255,7 +270,13 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = HELD_OUT
     n, bad = sums["n"], sums["bad"] or 0
     if not 0 < bad < n:
         return empty
-    support = rows.mapInArrow(_support(model), "feature long, bad long, good long").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    toxic = (rows.where("toxic = 1").select("text").mapInArrow(_toxic_support(model), "feature long, bad long").groupBy("feature").agg(F.sum("bad").alias("bad"))
+             .where(F.col("bad") >= LEAST_SUPPORT))
+    toxic = written(toxic)
+    # words of at most `sample` rows, each in LEAST_SUPPORT of them
+    candidates = spark.sparkContext.broadcast(np.sort(toxic.select("feature").toPandas()["feature"].to_numpy(np.int64).view(_U)))
+    seen = rows.select("text").mapInArrow(_support(model, candidates), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    support = toxic.join(seen, "feature").select("feature", "bad", (F.col("n") - F.col("bad")).alias("good"))
     # the G statistic against independence, for features that go with the label
     k, t = F.col("bad"), F.col("bad") + F.col("good")
     part = lambda a, b: F.when(a > 0, a * F.log(a / b)).otherwise(0.0)
@@ -266,10 +287,9 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int] = HELD_OUT
         return empty
     features = np.sort(best["feature"].to_numpy(np.int64).view(_U))
     design = rows.mapInArrow(_design(model, spark.sparkContext.broadcast(features)), "toxic int, found array<int>").toPandas()
-    x = np.zeros((len(design), len(features)), np.float32)
-    for r, found in enumerate(design["found"]):
-        x[r, list(found)] = 1
-    weights, bias = logistic(x, design["toxic"].to_numpy(np.float32))
+    each = design["found"].map(len).to_numpy(np.int64)
+    column = np.concatenate([*design["found"], []]).astype(np.int64)
+    weights, bias = logistic(np.repeat(np.arange(len(design)), each), column, len(features), design["toxic"].to_numpy(float))
     return {"model": model, "features": features, "weights": weights, "bias": bias}
 
 
@@ -286,12 +306,10 @@ def score_texts(df: DataFrame, model: dict, text_col: str = "text", score: str =
         for batch in batches:
             column = batch.column(text)
             for i, j, buf, offsets in _vec.slices(column):
-                row, h = _features(buf, offsets, decoder)
                 z = np.full(j - i, bias)
                 if len(features):
-                    at = np.minimum(np.searchsorted(features, h), len(features) - 1)
-                    hit = features[at] == h
-                    z += np.bincount(row[hit], weights[at[hit]], j - i)
+                    row, h = _features(buf, offsets, decoder, features)
+                    z += np.bincount(row, weights[np.searchsorted(features, h)], j - i)
                 part = batch.slice(i, j - i).drop_columns([text])
                 yield part.append_column(score, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30)))))
 
