@@ -47,8 +47,20 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+#: Bytes of an Arrow batch between the JVM and Python. Spark's own bound is 64 MB, and a task holds several copies of a batch.
+BATCH_BYTES = 4 << 20
+
+
+def lean_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by BATCH_BYTES, unless it names a bound itself."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def id_text(df: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
-    """Only the id and the text (null: empty), so a scan reads two columns."""
+    """Only the id and the text (null: empty), so a scan reads two columns; Arrow batches of texts are kept small."""
+    lean_batches(df.sparkSession)
     return df.select(F.col(quoted(id_col)).cast("long").alias("doc_id"),
                      F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("text"), *more)
 
