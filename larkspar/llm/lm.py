@@ -14,7 +14,8 @@ context by successor search within the word's own segment.
 With b(v) the back-off weight of context v, a seen pair stores log p(w|v) - b(v) and an unseen one costs
 log p(w), so a text's score is the sum over its tokens of one term that needs only the token's shard and
 one, b, that needs only its context's. Shards are therefore scored apart: a block of shards of at most
-BLOCK_BYTES is broadcast at a time and the parts are summed, so the model may be larger than any machine.
+BLOCK_BYTES is broadcast at a time, its part of the scores is written, the block is let go, and the parts
+are summed, so the model may be larger than any machine.
 
 Defined results: a null text is empty and scores its end token; rows that share an id are scored each; null
 ids hash as the empty text; with no training rows every word is unknown and scores 0; an empty table gives
@@ -328,8 +329,12 @@ def score_texts(df: DataFrame, held_out: tuple[int, int] = HELD_OUT, id_col: str
     parts = []
     for low, high in zip(bounds, bounds[1:]):
         data = [(r["shard"], [bytes(d) for d in r["data"]]) for r in trie.where(F.col("shard").between(low, high - 1)).toLocalIterator()]
-        parts.append(lean.mapInArrow(_score(spark.sparkContext.broadcast(data), stats, low, high),
-                                     "doc_id long, held_out boolean, key long, n_tokens long, n_known long, base_score double, score double"))
+        shared = spark.sparkContext.broadcast(data)
+        part = lean.mapInArrow(_score(shared, stats, low, high), "doc_id long, held_out boolean, key long, n_tokens long, n_known long, base_score double, score double")
+        if len(bounds) > 2:  # one block is held at a time, by the driver and by the executors
+            part = written(part)
+            shared.destroy()
+        parts.append(part)
     total = parts[0]
     if len(parts) > 1:
         for p in parts[1:]:
