@@ -36,7 +36,7 @@ from . import _vec
 from ._common import bounded, id_text, written
 
 SHARD_BYTES = 12 << 20  # of training text
-BLOCK_BYTES = 96 << 20
+BLOCK_BYTES = 64 << 20
 FLUSH = 1_000_000
 HELD_OUT = (7, 2)
 _U = np.uint64
@@ -227,7 +227,7 @@ class Trie:
             parts["context"].append(raw[5])
             parts["value"].append(raw[7][raw[6]].astype(np.float16) if len(raw[6]) else np.zeros(0, np.float16))
             at += len(raw[5])
-        join = lambda k, t: np.concatenate(parts[k]) if parts[k] else np.zeros(0, t)
+        join = lambda k, t: np.concatenate(x) if (x := parts.pop(k)) else np.zeros(0, t)  # noqa: E731  lets the parts go
         word = join("word", _U)
         self.count, self.back = join("count", np.uint32), join("back", np.float16)
         self.pointer = np.append(join("pointer", np.int64), at).astype(np.int64)
@@ -235,7 +235,8 @@ class Trie:
         # Elias-Fano: about one word a bucket of high bits; the low 32 bits are searched within it
         self.high = min(32, max(1, int(len(word)).bit_length()))
         self.low = (word >> _U(32 - self.high)).astype(np.uint32)
-        self.directory = np.searchsorted(word >> _U(64 - self.high), np.arange((1 << self.high) + 1, dtype=_U)).astype(np.uint32)
+        self.directory = np.zeros((1 << self.high) + 1, np.uint32)
+        np.cumsum(np.bincount((word >> _U(64 - self.high)).astype(np.int64), minlength=1 << self.high), out=self.directory[1:])
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Rank of each word, -1 if it is not there."""
