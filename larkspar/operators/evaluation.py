@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import rate
+from .ordering import numbered
 
 # Gates (metric, bound, least or most) and margins.
 GATES = [("schema_valid", 0.99, "min"), ("recall", 0.95, "min"), ("precision", 0.90, "min"), ("type_accuracy", 0.85, "min"), ("hard_negative", 0.90, "min"), ("needs_review", 0.15, "max"), ("isolation", 0.0, "max")]
@@ -15,12 +16,12 @@ SPLIT = ["dev", "dev", "holdout", "dev", "holdout"]
 
 def capped(df: DataFrame, group: str, order: list, most: int) -> DataFrame:
     """df with the rank in its group and whether it is over the cap."""
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).withColumn("overflow", F.col("rank") > most)
+    return numbered(df, [group], order).withColumn("overflow", F.col("rank") > most)
 
 
 def round_robin(df: DataFrame, group: str, order: str, pattern: list[str] = SPLIT) -> DataFrame:
-    at = (F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1) % len(pattern)
-    return df.withColumn("split", F.element_at(F.array(*[F.lit(p) for p in pattern]), (at + 1).cast("int")))
+    at = (F.col("_k") - 1) % len(pattern)
+    return numbered(df, [group], [order], "_k").withColumn("split", F.element_at(F.array(*[F.lit(p) for p in pattern]), (at + 1).cast("int"))).drop("_k")
 
 
 def hash_sample(df: DataFrame, stratum: str, key: str, n: int) -> DataFrame:

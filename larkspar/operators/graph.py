@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import numbered
+
 
 def bfs(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
     """(node, depth) reached from roots(node) over edges(src, dst), level by level; `depth` joins at most."""
@@ -35,4 +37,4 @@ def breaker(attempts: DataFrame, host: str, order: list[str], failed: str, limit
 
 
 def within_budget(attempts: DataFrame, host: str, order: list[str], budget: int) -> DataFrame:
-    return attempts.withColumn("used", F.row_number().over(Window.partitionBy(host).orderBy(*order))).withColumn("allowed", F.col("used") <= budget)
+    return numbered(attempts, [host], order, "used").withColumn("allowed", F.col("used") <= budget)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text, web
+from .ordering import numbered
 
 RULE_VERSION = "pack-1"
 ALL = ["urlPath", "anchorText", "title", "heading"]
@@ -82,8 +83,10 @@ def scores(pages: DataFrame, key: str, found: DataFrame) -> DataFrame:
 
 
 def ranked(scored: DataFrame, group: list[str], url: str, top: int | None = None) -> DataFrame:
-    rows = scored.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("score"), url)))
-    return rows.where(F.col("rank") <= top) if top else rows
+    """Ranks by score; a top is cut early in every task, all ranks are numbered over ranges."""
+    if top is None:
+        return numbered(scored, group, [F.desc("score"), url])
+    return scored.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("score"), url))).where(F.col("rank") <= top)
 
 
 def inherited(scored: DataFrame, key: str, segments: str) -> DataFrame:
@@ -100,10 +103,11 @@ def frontier_order(pages: DataFrame, score_a: str, score_b: str, method: str, ur
     best = F.greatest(score_a, score_b)
     own = F.when(F.col(score_a) >= F.col(score_b), F.col(score_a)).otherwise(F.col(score_b))
     keys = [F.desc(best), F.desc((own > 0).cast("int")), F.when(F.col(method) == "SITEMAP", 0).otherwise(1), F.col(url)]
-    b_rank = F.row_number().over(Window.orderBy(F.desc(score_b), *keys))
-    first = pages.withColumn("_b", F.when(F.col(score_b) > 0, b_rank)).withColumn("_phase", F.when(F.col("_b") <= floor, 0).otherwise(1))
-    order = Window.orderBy("_phase", F.when(F.col("_phase") == 0, F.col("_b")), *keys)
-    return first.withColumn("pick", F.row_number().over(order)).drop("_b", "_phase")
+    order = [F.desc(score_b), *keys]
+    first = pages.where(F.col(score_b) > 0).orderBy(*order).limit(floor)  # the floor's few rows
+    first = first.withColumn("_b", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))).select(url, "_b")
+    rows = pages.join(F.broadcast(first), url, "left").withColumn("_phase", F.col("_b").isNull().cast("int"))
+    return numbered(rows, [], ["_phase", "_b", *keys], "pick").select(*pages.columns, "pick")
 
 
 def lexicon_score(form, phrases: list[tuple[str, int]]):
