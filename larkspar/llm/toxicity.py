@@ -17,7 +17,7 @@ text scores 0; an empty table gives an empty result; other columns pass through
 
 from __future__ import annotations
 
-import functools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +35,8 @@ PREFIXES = (4, 5, 6, 7, 8)  # bytes
 HELD_OUT = (3, 1)
 THRESHOLD = 0.7
 ORDER, SYMBOLS = 4, 27
+SLICE_BYTES = 1 << 18  # of text at a time: the arrays over it take about a hundred times as much
+READ = 20_000  # readings a decoder remembers
 _U = np.uint64
 
 # Readings of a mark or digit: fixed values.
@@ -56,7 +58,7 @@ def character_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     """(cell, n): how often each run of four symbols occurs; 0 is a word's edge."""
     total = np.zeros(SYMBOLS**ORDER, np.int64)
     for batch in batches:
-        for _, _, buf, offsets in _vec.slices(batch.column(1)):
+        for _, _, buf, offsets in _vec.slices(batch.column(1), SLICE_BYTES):
             s = _ASCII[_LOWER[buf]].astype(np.int64)
             s = np.concatenate([np.zeros(3, np.int64), s, np.zeros(1, np.int64)])
             # before a word's first letter everything is edge
@@ -80,12 +82,30 @@ def language_model(counts: np.ndarray, strength: float = 4.0) -> np.ndarray:
     return np.log(p)
 
 
+class _Rows(dict):
+    """State -> its row of the language model as a list, made when first asked for."""
+
+    def __init__(self, model: np.ndarray):
+        self.model = model.reshape(-1, SYMBOLS)
+
+    def __missing__(self, at: int) -> list[float]:
+        self[at] = row = self.model[at].tolist()
+        return row
+
+
 class Decoder:
     """Viterbi over a token's character lattice."""
 
     def __init__(self, model: np.ndarray):
-        self.model = model.reshape(-1, SYMBOLS).tolist()
-        self.decode = functools.lru_cache(100_000)(self._decode)
+        self.model = _Rows(model)
+        self.read: dict[str, str] = {}
+
+    def decode(self, token: str) -> str:
+        if token not in self.read:
+            if len(self.read) >= READ:
+                self.read.clear()
+            self.read[token] = self._decode(token)
+        return self.read[token]
 
     @staticmethod
     def lattice(token: str) -> list[list[tuple[str, float]]]:
@@ -124,6 +144,18 @@ class Decoder:
         return max((s + model[at][0], t) for at, (s, t) in states.items())[1]
 
 
+_decoders: dict[int, Decoder] = {}
+
+
+def decoder_of(model: np.ndarray) -> Decoder:
+    """The one decoder of a Python worker: its tasks share it, so none is left for the collector after each."""
+    key = zlib.crc32(model)
+    if key not in _decoders:
+        _decoders.clear()
+        _decoders[key] = Decoder(model)
+    return _decoders[key]
+
+
 def _features(buf: np.ndarray, offsets: np.ndarray, decoder: Decoder, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature hash) of plain words, word beginnings and restored words, of those in `known` if it is given.
 
@@ -194,9 +226,9 @@ def _features(buf: np.ndarray, offsets: np.ndarray, decoder: Decoder, known: np.
 def _toxic_support(shared):
     """(feature, toxic rows) over toxic rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(shared.value)
+        decoder = decoder_of(shared.value)
         for batch in batches:
-            for _, _, buf, offsets in _vec.slices(batch.column("text")):
+            for _, _, buf, offsets in _vec.slices(batch.column("text"), SLICE_BYTES):
                 keys, n = np.unique(_features(buf, offsets, decoder)[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["feature", "bad"])
 
@@ -206,10 +238,10 @@ def _toxic_support(shared):
 def _support(shared, candidates):
     """(feature, rows) of the candidates over all labelled rows of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder, known = Decoder(shared.value), candidates.value
+        decoder, known = decoder_of(shared.value), candidates.value
         total = np.zeros(len(known), np.int64)
         for batch in batches:
-            for _, _, buf, offsets in _vec.slices(batch.column("text")):
+            for _, _, buf, offsets in _vec.slices(batch.column("text"), SLICE_BYTES):
                 total += np.bincount(np.searchsorted(known, _features(buf, offsets, decoder, known)[1]), minlength=len(known))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(known[some].view(np.int64)), pa.array(total[some])], ["feature", "n"])
@@ -219,9 +251,9 @@ def _support(shared, candidates):
 
 def _design(shared, features):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder, known = Decoder(shared.value), features.value
+        decoder, known = decoder_of(shared.value), features.value
         for batch in batches:
-            for i, j, buf, offsets in _vec.slices(batch.column("text")):
+            for i, j, buf, offsets in _vec.slices(batch.column("text"), SLICE_BYTES):
                 row, h = _features(buf, offsets, decoder, known)
                 at = np.searchsorted(known, h)
                 found: list[list[int]] = [[] for _ in range(j - i)]
@@ -302,10 +334,10 @@ def score_texts(df: DataFrame, model: dict, text_col: str = "text", score: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, weights, bias = shared.value
-        decoder = Decoder(letters.value)
+        decoder = decoder_of(letters.value)
         for batch in batches:
             column = batch.column(text)
-            for i, j, buf, offsets in _vec.slices(column):
+            for i, j, buf, offsets in _vec.slices(column, SLICE_BYTES):
                 z = np.full(j - i, bias)
                 if len(features):
                     row, h = _features(buf, offsets, decoder, features)
