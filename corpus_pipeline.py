@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspar.llm import exact_dedup, ngram_jaccard, packing, pii, toxicity
-from larkspar.llm._common import bounded, documents, written
+from larkspar.llm._common import documents, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,10 +26,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id stays; a null id is never dropped."""
-    groups = ngram_jaccard.similar_groups(docs)
-    gone = bounded(written(groups.where("doc_id is not null and doc_id != class_id").select("doc_id").distinct()))
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of linked documents the one with the least id stays; rows go by id and text, a null id is never dropped."""
+    return ngram_jaccard.deduplicate(docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

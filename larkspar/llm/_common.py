@@ -84,11 +84,11 @@ def text_key(text):
 
 
 def with_first(rows: DataFrame) -> DataFrame:
-    """rows(doc_id, text, ...) plus first (the least id with the same text) and copies (how many have it)."""
+    """rows(doc_id, text, ...) plus the text key, first (the least id with the same text) and copies (how many have it)."""
     groups = (rows.select("doc_id", *text_key("text")).groupBy("_lk_k1", "_lk_k2")
               .agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1"))
     groups = bounded(written(groups))
-    held = rows.select("*", *text_key("text")).join(groups, ["_lk_k1", "_lk_k2"], "left").drop("_lk_k1", "_lk_k2")
+    held = rows.select("*", *text_key("text")).join(groups, ["_lk_k1", "_lk_k2"], "left")
     return held.withColumns({"first": F.coalesce("first", "doc_id"), "copies": F.coalesce("copies", F.lit(1).cast("long"))})
 
 

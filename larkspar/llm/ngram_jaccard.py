@@ -14,8 +14,9 @@ two blocks. Links are counted there and only one edge a member leaves a task. Co
 set with a weight.
 
 Defined results: a null text is empty; a text of one to four words is one shingle; texts without words are
-linked to their exact copies only; rows that share an id share its class, the least id reached over links;
-an empty table gives an empty result; other columns are ignored.
+linked to their exact copies only; a row is classed by its own text, so rows that share an id (or have none)
+but not a text are compared each, and the id is a label only; a class is named by the least id reached over
+links, null if no text in it has one; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _vec
-from ._common import bounded, components, id_text, with_first, written
+from ._common import bounded, components, fresh, id_text, quoted, text_key, with_first, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -286,23 +287,77 @@ def loose_edges(sketches: DataFrame, runs: int, similarity: float) -> DataFrame:
     return found
 
 
-def similar_groups(df: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id (least id reached over links), n_links (linked documents, copies included), copies per row."""
-    rows = with_first(id_text(df, id_col, text_col)).withColumn("first", F.coalesce("first", F.lit(-(1 << 63))))
-    own = rows.where(F.col("first") == F.coalesce("doc_id", F.lit(-(1 << 63))))
-    sketches = written(own.select(F.col("first").alias("id"), "text").mapInArrow(_sketches, "id long, tokens binary").dropDuplicates(["id"]))
+def keyed(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """with_first(rows) plus key, a number no other text has, and the texts (key, first) whose key is not `first`.
+
+    The key is the least id of the text where no other text has that id; the others are numbered above all ids.
+    """
+    held = with_first(rows)
+    shared = written(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("first")))
+    if not shared.limit(1).count():
+        return held.withColumn("key", F.col("first")), None
+    texts = held.select("_lk_k1", "_lk_k2", "first").distinct()
+    least = rows.agg(F.max("doc_id")).first()[0]
+    least = 0 if least is None else max(least + 1, 0)
+    if least < 1 << 62:
+        texts = texts.where("first is null").unionByName(texts.join(bounded(shared), "first", "left_semi"))
+    else:  # no room above the ids: every text is numbered
+        least = 0
+    odd = written(texts.withColumn("_lk_key", F.monotonically_increasing_id() + F.lit(least).cast("long")))
+    held = held.join(bounded(odd.drop("first")), ["_lk_k1", "_lk_k2"], "left").withColumn("key", F.coalesce("_lk_key", "first")).drop("_lk_key")
+    return held, odd.select(F.col("_lk_key").alias("key"), "first")
+
+
+def named(classes: DataFrame, odd: DataFrame | None) -> DataFrame:
+    """classes (key, root), roots included, plus label: the least id of any text of the class."""
+    if odd is None:
+        return classes.withColumn("label", F.col("root"))
+    classes = written(classes)
+    firsts = classes.join(bounded(odd.withColumn("_lk_odd", F.lit(True))), "key", "left")
+    labels = firsts.groupBy("root").agg(F.min(F.when(F.col("_lk_odd"), F.col("first")).otherwise(F.col("key"))).alias("label"))
+    return classes.join(bounded(written(labels)), "root")
+
+
+def classes(df: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """similar_groups plus root (equal in one class only) and the text key, per row."""
+    rows, odd = keyed(id_text(df, id_col, text_col))
+    own = rows.where(F.col("first").eqNullSafe(F.col("doc_id")))
+    sketches = written(own.select(F.col("key").alias("id"), "text").mapInArrow(_sketches, "id long, tokens binary").dropDuplicates(["id"]))
     loose = written(components(loose_edges(sketches, RUNS, similarity)))
     members = loose.unionByName(loose.select(F.col("root").alias("id"), "root").distinct())
     members = written(members)
-    text = own.select(F.col("first").alias("id"), "text", "copies").join(bounded(members), "id").dropDuplicates(["id"])
+    text = own.select(F.col("key").alias("id"), "text", "copies").join(bounded(members), "id").dropDuplicates(["id"])
     sets = written(text.select("id", "root", "copies", "text").mapInArrow(_sets, "id long, root long, copies long, shingles binary"))
     size = bounded(written(sets.groupBy("root").agg(F.count(F.lit(1)).alias("n"))))
     blocks = _blocked(sets.join(size, "root"), "root", "n", BLOCK)
     exact = written(blocks.select("key", "id", "side", "alone", "copies", "shingles").repartition("key").sortWithinPartitions("key")
                     .mapInArrow(_exact(similarity), "a long, b long, links long"))
-    links = exact.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "first")
-    classes = components(exact.select("a", "b")).withColumnRenamed("id", "first")
-    found = bounded(written(links.join(classes, "first", "left")))
-    return (rows.select("doc_id", "first", "copies").join(found, "first", "left")
-            .select("doc_id", F.when(F.col("copies") + F.coalesce("links", F.lit(0)) > 1, F.coalesce("root", "first")).otherwise(F.col("doc_id")).alias("class_id"),
-                    (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies"))
+    links = exact.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "key")
+    joined = components(exact.select("a", "b")).withColumnRenamed("id", "key")
+    joined = named(joined.unionByName(joined.select(F.col("root").alias("key"), "root").distinct()), odd)
+    found = bounded(written(links.join(joined, "key", "left")))
+    return (rows.select("doc_id", "key", "first", "copies", "_lk_k1", "_lk_k2").join(found, "key", "left")
+            .select("doc_id", F.when(F.col("copies") + F.coalesce("links", F.lit(0)) > 1, F.coalesce("label", "first")).otherwise(F.col("doc_id")).alias("class_id"),
+                    (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies", F.coalesce("root", "key").alias("root"), "_lk_k1", "_lk_k2"))
+
+
+def similar_groups(df: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id (least id reached over links), n_links (linked documents, copies included), copies per row."""
+    return classes(df, similarity, id_col, text_col).select("doc_id", "class_id", "n_links", "copies")
+
+
+def deduplicate(df: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """df without the rows whose class has a text of lesser id, or of the same id and lesser text key; columns as they were.
+
+    A row goes by its id and text, never by its id alone; a null id is never dropped.
+    """
+    linked = written(classes(df, similarity, id_col, text_col).where("doc_id is not null and n_links > 0").drop("n_links", "copies").distinct())
+    stay = linked.where("doc_id = class_id").groupBy("root").agg(F.min(F.struct("_lk_k1", "_lk_k2")).alias("stay"))
+    gone = linked.join(bounded(written(stay)), "root", "left").where(
+        (F.col("doc_id") != F.col("class_id")) | (F.struct("_lk_k1", "_lk_k2") != F.col("stay")))
+    gone = bounded(written(gone.select(F.col("doc_id").alias("_lk_id"), "_lk_k1", "_lk_k2")))
+    a, b = fresh(df, "a", "b")
+    k1, k2 = text_key(F.coalesce(F.col(quoted(text_col)), F.lit("")))
+    held = df.withColumns({a: k1, b: k2})
+    same = (held[quoted(id_col)].cast("long") == gone["_lk_id"]) & (held[a] == gone["_lk_k1"]) & (held[b] == gone["_lk_k2"])
+    return held.join(gone, same, "left_anti").select(*[quoted(c) for c in df.columns])

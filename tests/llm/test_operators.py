@@ -196,6 +196,29 @@ def test_near_duplicates(spark, docs, plain):
     assert 1 - (1 - ngram_jaccard.meeting_probability(ngram_jaccard.DEPTH)) ** ngram_jaccard.RUNS >= ngram_jaccard.TARGET_RECALL
 
 
+@pytest.mark.parametrize("top", [9, (1 << 63) - 1])
+def test_near_duplicates_of_rows_that_share_an_id(spark, top):
+    """Texts, not ids, are compared: rows with one id or none are each linked by their own text."""
+    rnd = random.Random(8)
+    text = lambda: " ".join("w%d" % rnd.randrange(10**6) for _ in range(60))
+    a, b, c, d, e = (text() for _ in range(5))
+    near = lambda t, k: " ".join([*t.split()[:-1], f"edit{k}"])
+    rows = [(7, a), (3, near(a, 1)), (3, b), (7, c), (8, near(c, 1)), (None, d), (None, near(d, 1)), (None, e), (5, near(e, 1)), (4, near(e, 2)), (4, near(e, 3)), (top, "alone " + text())]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = df.select("text", F.xxhash64("text", F.lit(11)), F.xxhash64("text", F.lit(12))).collect()
+    key = {(k1, k2): t for t, k1, k2 in keys}
+    got = {key[r._lk_k1, r._lk_k2]: (r.doc_id, r.class_id, r.n_links) for r in ngram_jaccard.classes(df).collect()}
+    want = [(3, 1), (3, 1), (3, 0), (7, 1), (7, 1), (None, 1), (None, 1), (4, 3), (4, 3), (4, 3), (4, 3), (top, 0)]
+    assert [got[t] for _, t in rows] == [(i, *w) for (i, _), w in zip(rows, want)]
+    assert collections.Counter(map(tuple, ngram_jaccard.similar_groups(df).select("doc_id", "class_id", "n_links").collect())) == collections.Counter(got.values())
+    import corpus_pipeline
+
+    left = collections.Counter(map(tuple, corpus_pipeline.drop_near_copies(spark, df, "").collect()))
+    fours = [left[4, near(e, k)] for k in (2, 3)]
+    assert sorted(fours) == [0, 1]
+    assert {r for r in left if r[0] != 4} == {rows[k] for k in (1, 2, 3, 5, 6, 7, 11)}
+
+
 def test_blocks_find_all_links(spark, monkeypatch):
     """A group over several blocks and buckets: the same links as all pairs."""
     monkeypatch.setattr(ngram_jaccard, "BLOCK", 8)
