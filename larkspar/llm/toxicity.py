@@ -1,7 +1,7 @@
 """Toxicity by noisy-channel deobfuscation.
 
-A token that looks disguised (leetspeak, repeated letters, letters set apart by spaces or marks) becomes a
-lattice of the characters that could have been meant; Viterbi decoding under a character language model,
+A token that looks disguised (a mark or digit with a reading anywhere in it, repeated letters, letters, marks
+or digits set apart by spaces or marks) becomes a lattice of the characters that could have been meant; Viterbi decoding under a character language model,
 learned from all documents, picks the likeliest reading. Plain and restored words, and the beginnings of
 words, are the features of a logistic regression over the words that go with the label.
 
@@ -50,6 +50,9 @@ _LOWER[65:91] += 32
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
 _LETTER[128:] = True
+_READABLE = np.zeros(256, bool)
+_READABLE[[ord(c) for c in READINGS if ord(c) < 128]] = True
+_WIDE = [np.frombuffer(c.encode(), np.uint8) for c in READINGS if ord(c) >= 128]
 _ASCII = np.zeros(256, np.uint8)
 _ASCII[97:123] = np.arange(1, 27)
 
@@ -127,9 +130,9 @@ class Decoder:
 
     def _decode(self, token: str) -> str:
         model = self.model
-        states = {0: (0.0, "")}  # last three symbols -> best score and reading
+        states = {0: (0.0, None)}  # last three symbols -> best score and reading, as a chain from its end
         for options in self.lattice(token):
-            after: dict[int, tuple[float, str]] = {}
+            after: dict[int, tuple[float, tuple | None]] = {}
             for state, (score, text) in states.items():
                 for reading, cost in options:
                     s, at = score + cost, state
@@ -139,9 +142,17 @@ class Decoder:
                         s += model[at][k]
                         at = (at * SYMBOLS + k) % SYMBOLS**3 if k else 0
                     if at not in after or s > after[at][0]:
-                        after[at] = (s, text + reading)
+                        after[at] = (s, (text, reading))
             states = after
-        return max((s + model[at][0], t) for at, (s, t) in states.items())[1]
+        return max((s + model[at][0], _unchained(t)) for at, (s, t) in states.items())[1]
+
+
+def _unchained(chain: tuple | None) -> str:
+    out = []
+    while chain:
+        chain, reading = chain
+        out.append(reading)
+    return "".join(reversed(out))
 
 
 _decoders: dict[int, Decoder] = {}
@@ -165,7 +176,13 @@ def _features(buf: np.ndarray, offsets: np.ndarray, decoder: Decoder, known: np.
     start, end, rows = _vec.word_bounds(low, offsets)
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, _U)
-    letter = _LETTER[low]
+    letter, readable = _LETTER[low], _READABLE[low]
+    for c in _WIDE:  # marks of several bytes that have readings are no letters
+        at = np.flatnonzero(low[: max(0, len(low) - len(c) + 1)] == c[0])
+        for k in range(1, len(c)):
+            at = at[low[at + k] == c[k]]
+        for k in range(len(c)):
+            letter[at + k], readable[at + k] = False, True
     at = np.arange(len(low))
     last = np.maximum.accumulate(np.where(letter, at, -1))[end - 1] + 1
     first = np.minimum.accumulate(np.where(letter, at, len(low))[::-1])[::-1][start]
@@ -183,25 +200,48 @@ def _features(buf: np.ndarray, offsets: np.ndarray, decoder: Decoder, known: np.
         long = we - ws > k
         out_rows.append(wr[long])
         out.append(_vec.mix(_vec.span_hashes(low, ws[long], ws[long] + k) + _U(k)))
-    # one letter alone, three times or more in a row, is a word set apart
-    single = has & (n_letters == 1) & (end - start <= 2)
-    edge = np.diff(np.concatenate([[0], single.astype(np.int8), [0]]))
+    # Disguised words are read every way they may be meant, so one reading hides no other.
+    # A letter alone, three times or more in a row, is a word set apart; so is a run of single characters of any kind.
+    heads = np.concatenate([[0], np.cumsum((low & 0xC0) != 0x80)])  # characters, not bytes
+    chars = heads[end] - heads[start]
+    usable = letter | readable
+    head_of = lambda mask: np.concatenate([[0], np.cumsum(mask & ((low & 0xC0) != 0x80))])
+    n_usable, n_heads = head_of(usable), head_of(letter)
+    n_usable, lone = n_usable[end] - n_usable[start], n_heads[end] - n_heads[start] == 1
+    ascii_single = has & (n_letters == 1) & (end - start <= 2)
+    any_single = (chars == 1) | ((chars == 2) & (lone | (n_usable == 1)))
     words: list[str] = []
     owners: list[int] = []
-    for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
-        cut = [a, *[k for k in range(a + 1, b) if rows[k] != rows[k - 1]], b]
-        for x, y in zip(cut, cut[1:]):
-            if y - x >= 3:
-                words.append("".join(low[start[k] : end[k]].tobytes().decode("utf-8", "ignore")[:1] for k in range(x, y)))
-                owners.append(int(rows[x]))
+
+    def sole(k: int) -> str:
+        """The letter of a token, or else its mark."""
+        t = low[start[k] : end[k]].tobytes().decode("utf-8", "ignore")
+        return next((c for c in t if c.isalpha()), None) or next((c for c in t if c in READINGS), t[:1])
+
+    spans = set()
+    for single in (ascii_single, any_single):
+        edge = np.diff(np.concatenate([[0], single.astype(np.int8), [0]]))
+        for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
+            cut = [a, *[k for k in range(a + 1, b) if rows[k] != rows[k - 1]], b]
+            for x, y in zip(cut, cut[1:]):
+                core = np.flatnonzero(lone[x:y])  # without the marks and digits around it
+                spans.add((x, y))
+                if len(core):
+                    spans.add((x + int(core[0]), x + int(core[-1]) + 1))
+    for x, y in sorted(spans):
+        if y - x >= 3:
+            words.append("".join(map(sole, range(x, y))))
+            owners.append(int(rows[x]))
+    # leading marks may be letters too ("$cum"): the lattice decides
     odd = np.flatnonzero(has & (n_letters > 0) & (last - start > 2) & (marks | repeated))
-    # leading marks may be letters too ("$cum"), trailing ones as well ("clas$"): the lattice decides
-    for a, b, r in zip(start[odd].tolist(), last[odd].tolist(), rows[odd].tolist()):
-        words.append(low[a:b].tobytes().decode("utf-8", "ignore"))
-        owners.append(r)
-    tail = np.flatnonzero(has & (end > last) & (n_letters > 1))
-    tail = tail[np.isin(low[np.minimum(last[tail], len(low) - 1)], np.frombuffer(b"013457$@!", np.uint8)) & (end[tail] - last[tail] == 1)]
-    for a, b, r in zip(start[tail].tolist(), end[tail].tolist(), rows[tail].tolist()):
+    spans = set(zip(start[odd].tolist(), last[odd].tolist(), rows[odd].tolist()))
+    # and so may marks and digits anywhere, all trailing ones included ("sh17", "cla$$", "@$$")
+    stop = np.maximum.accumulate(np.where(usable, at, -1))[end - 1] + 1
+    begin = np.minimum.accumulate(np.where(usable, at, len(low))[::-1])[::-1][start]
+    reads = np.concatenate([[0], np.cumsum(readable)])
+    odd = np.flatnonzero((reads[end] > reads[start]) & (chars > 1))
+    spans.update(zip(begin[odd].tolist(), stop[odd].tolist(), rows[odd].tolist()))
+    for a, b, r in sorted(spans):
         words.append(low[a:b].tobytes().decode("utf-8", "ignore"))
         owners.append(r)
     if words:

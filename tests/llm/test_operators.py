@@ -248,6 +248,23 @@ def test_toxicity(spark):
     assert {r.predicted for r in toxicity.report(df, labels.limit(0)).collect()} == {0}
 
 
+@pytest.mark.parametrize("disguise", ["idi07", "idi07.", "cla55", "cla$$", "(cla$$),", "m0r0n!!", "@$$", "£oon", "cr€€p", "m 0 r 0 n", "1 m 0 r 0 n !", "1 m o r o n", "- m - o - r - o - n -", "i d i ö t"])
+def test_disguises_reach_the_lattice(disguise):
+    toxic = ["moron", "idiot", "class", "ass", "loon", "creep", "idiöt"]
+    rnd = random.Random(9)
+    text = " ".join(rnd.choice([*toxic, "house", "river", "table", "green"]) for _ in range(3000)).encode()
+    counts = np.zeros(toxicity.SYMBOLS**toxicity.ORDER)
+    import pyarrow as pa
+
+    for out in toxicity.character_counts(iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text.decode()])], ["id", "text"])])):
+        counts[out.column(0).to_numpy()] = out.column(1).to_numpy()
+    decoder = toxicity.Decoder(toxicity.language_model(counts))
+    whole = lambda t: set(toxicity._features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]), decoder)[1].tolist())
+    known = {t: toxicity._vec.span_hashes(np.frombuffer(t.encode(), np.uint8), np.array([0]), np.array([len(t.encode())]))[0] for t in toxic}
+    assert {t for t in toxic if known[t] in whole("river " + disguise + " house")}
+    assert not {t for t in toxic if known[t] in whole("river 2024 house 3.50 % table (green) - 1 2 3 4")}
+
+
 def test_packing(spark, docs, rows, plain):
     from tokenizers import Tokenizer
 
