@@ -1,11 +1,10 @@
-"""Substring dedup: documents factored against every indexed block of the corpus.
+"""Substring dedup: every window of words looked up in an index of the whole corpus.
 
 A document's duplicate spans are the words covered by a window of WINDOW consecutive words whose sequence
-also starts earlier (in a smaller id, or earlier in the same document). As in relative Lempel-Ziv parsing
-a document is taken apart into factors, the longest runs of words that the reference has, and a factor
-counts once it holds a whole window; a window that straddles two factors is looked up like any other, so
-nothing is lost where one factor ends and the next begins. The reference is the whole corpus: its index
-is dealt out by hash, and every document is looked up in every part of it.
+also starts earlier (in a smaller id, or earlier in the same document). No document is parsed into factors:
+a hash of each window is looked up instead of a greedy relative Lempel-Ziv parse. Greedy factors need not
+start or end where windows do, so windows that straddle factors would have to be looked up anyway to cover
+exactly these words. The index is dealt out by hash, so no task needs the reference's text.
 
 The index stays small because only what can repeat enters it. Each window is represented by its least
 gram of GRAM words (equal windows have equal least grams); grams that occur once in the corpus are dropped,
@@ -131,12 +130,6 @@ def covered(n: int, first: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(depth[:-1]) > 0
 
 
-def factors(flagged: np.ndarray) -> list[tuple[int, int]]:
-    """(first word, words) of the maximal duplicate runs."""
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], flagged.astype(np.int8), [0]])))
-    return [(int(a), int(b - a)) for a, b in zip(edge[::2], edge[1::2])]
-
-
 def _settled(text: str, copy: bool, window: int) -> tuple[int, int, str]:
     words = text.encode().split()
     gone = copy and len(words) >= window
