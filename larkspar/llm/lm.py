@@ -1,4 +1,4 @@
-"""Language-model scoring with an Elias-Fano n-gram trie.
+"""Language-model scoring with an n-gram trie of sorted hashes.
 
 Counting: every task packs its (word, context) counts into one sorted block a shard, shards being ranges
 of the word hash; a shard's task merges them. A pair seen once is pruned and its mass goes to the back-off.
@@ -6,8 +6,9 @@ The model is an interpolated absolute-discount bigram over a discounted unigram
 to the unknown word.
 
 The trie is keyed by the predicted word, then its context. Level one holds the sorted word hashes as
-Elias-Fano (a monotone directory of the high bits, the low 32 bits apart), exact counts, a quantised
-back-off weight a word, and monotone pointers into level two, which holds for each word the sorted 32-bit
+a plain directory of the high bits and the low 32 bits apart (not Elias-Fano: nothing is coded with select,
+and nothing is mapped from a file), exact counts, a quantised
+back-off weight a word, and plain pointers into level two, which holds for each word the sorted 32-bit
 context hashes and a quantised smoothed log-probability. A query finds the word by its bucket and the
 context by successor search within the word's own segment.
 
@@ -232,7 +233,7 @@ class Trie:
         self.count, self.back = join("count", np.uint32), join("back", np.float16)
         self.pointer = np.append(join("pointer", np.int64), at).astype(np.int64)
         self.context, self.value = join("context", np.uint32), join("value", np.float16)
-        # Elias-Fano: about one word a bucket of high bits; the low 32 bits are searched within it
+        # about one word a bucket of high bits; the low 32 bits are searched within it
         self.high = min(32, max(1, int(len(word)).bit_length()))
         self.low = (word >> _U(32 - self.high)).astype(np.uint32)
         self.directory = np.zeros((1 << self.high) + 1, np.uint32)
