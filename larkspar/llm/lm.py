@@ -222,7 +222,7 @@ class Trie:
             raw = [_unzip(d, k) if k else d for d, k in zip(data, kinds)]
             plain = _unzip(raw[1], np.uint8)
             parts["word"].append(raw[0])
-            parts["count"].append(plain.view(np.uint32 if len(plain) == 4 * len(raw[0]) else _U).astype(np.uint32))
+            parts["count"].append(plain.view(np.uint32 if len(plain) == 4 * len(raw[0]) else _U))  # 64 bits if any shard needs them
             parts["back"].append(raw[3][raw[2]].astype(np.float16))
             parts["pointer"].append(raw[4][:-1] + at)
             parts["context"].append(raw[5])

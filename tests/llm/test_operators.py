@@ -161,6 +161,13 @@ def test_language_model_is_a_distribution(spark):
         assert abs(total - 1) < 0.03
 
 
+def test_counts_beyond_32_bits():
+    none = [np.zeros(1, np.uint8), np.zeros(256, np.float32), np.zeros(2, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.uint8), np.zeros(256, np.float32)]
+    shard = lambda word, n: [lm._zip(x) for x in (np.array([word], np.uint64), n, *none)]
+    trie = lm.Trie([(0, shard(5, np.array([7], np.uint32))), (1, shard(1 << 63, np.array([2**32 + 3], np.uint64)))])
+    assert trie.count.tolist() == [7, 2**32 + 3]
+
+
 def test_substring(spark, docs, plain, rows):
     got = by_id(substring.duplicate_words(docs))
     seen = {}
