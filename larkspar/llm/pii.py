@@ -37,6 +37,7 @@ PATTERNS = {
 KINDS = list(PATTERNS)
 HINT = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 WHITE = r"[\x20\x09-\x0D]+"
+EDGES = r"^[^\p{L}\p{M}\p{N}]++|(?<=[\p{L}\p{M}\p{N}])[^\p{L}\p{M}\p{N}]++$"  # of a word: no part of a term
 
 CONTEXT_WORDS = 4
 MIN_CONTEXTS = 3
@@ -119,12 +120,17 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, WHITE), lambda w: w != "")
 
 
+def _terms(words: Column) -> Column:
+    """Words as terms: lower case, without punctuation at their edges, each once."""
+    return F.filter(F.array_distinct(F.transform(words, lambda w: F.lower(F.regexp_replace(w, EDGES, "")))), lambda w: w != "")
+
+
 def term_table(rows: DataFrame, near: DataFrame, min_contexts: int = MIN_CONTEXTS, slack_bits: float = SLACK_BITS,
                context_words: int = CONTEXT_WORDS) -> DataFrame:
     """(term, posterior, pmi, ic): the corpus's disclosing terms.
 
     rows: _lk_row, text of every document; near: the same and spans, of those that mention an entity.
-    A term is a white-space word; a context is the `context_words` words on either side of a mention.
+    A term is a white-space word in lower case without punctuation at its edges; a context is the `context_words` words on either side of a mention.
     """
     mention = near.select("_lk_row", "text", F.explode("spans").alias("s"))
     reach = 40 * context_words  # code points looked at on either side
@@ -135,7 +141,7 @@ def term_table(rows: DataFrame, near: DataFrame, min_contexts: int = MIN_CONTEXT
     entity = F.xxhash64(F.col("s.kind"), F.lower(F.when(F.col("s.kind") >= 2, _digits(F.col("s.value"))).otherwise(F.col("s.value"))))
     seen = mention.select("_lk_row", entity.alias("entity"), F.concat(left, right).alias("window"))
     seen = (seen.withColumn("context", F.xxhash64("window"))
-            .select("_lk_row", "entity", "context", F.explode(F.array_distinct("window")).alias("term"))
+            .select("_lk_row", "entity", "context", F.explode(_terms(F.col("window"))).alias("term"))
             # a term must carry information itself: a base value or punctuation is no term
             .where(F.col("term").rlike(r"\p{L}") & (F.instr("term", "@") == 0)))
     # distinct contexts first, so that no group is gathered whole
@@ -155,7 +161,7 @@ def term_table(rows: DataFrame, near: DataFrame, min_contexts: int = MIN_CONTEXT
     if not few:
         return pairs.select("term", F.lit(0.0).alias("posterior"), F.lit(0.0).alias("pmi"), F.lit(0.0).alias("ic")).limit(0)
     side = F.broadcast(terms) if few <= BROADCAST_TERMS else terms
-    words = rows.select("_lk_row", F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
+    words = rows.select("_lk_row", F.explode(_terms(_words(F.col("text")))).alias("term"))
     held = words.join(side, "term")
     term_docs = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     known = pairs.select("entity").distinct()
@@ -186,14 +192,18 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits
         return data.withColumns({added: F.array().cast("array<struct<start:int,kind:int,end:int,value:string,posterior:double>>")}).select(
             *[quoted(c) for c in df.columns], F.col(base).alias("_lk_base"), F.col(added).alias("_lk_added"))
     side = F.broadcast(terms) if n <= BROADCAST_TERMS else terms
-    hits = (lean.select("_lk_row", F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
+    hits = (lean.select("_lk_row", F.explode(_terms(_words(F.col("text")))).alias("term"))
             .join(side, "term").groupBy("_lk_row").agg(F.map_from_entries(F.collect_list(F.struct("term", "posterior"))).alias("_lk_terms")))
     joined = data.withColumn("_lk_row", row_key).join(hits, "_lk_row", "left")
-    quote = F.transform(F.sort_array(F.map_keys("_lk_terms"), False), lambda w: F.concat(F.lit("\\Q"), F.regexp_replace(w, r"\\E", r"\\E\\\\E\\Q"), F.lit("\\E")))
-    pattern = F.concat(F.lit(r"(?<![^\x20\x09-\x0D])(?:"), F.array_join(quote, "|"), F.lit(r")(?![^\x20\x09-\x0D])"))
-    found = F.transform(_spans(F.col(text), pattern, len(KINDS)), lambda s: F.struct(
-        s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"),
-        F.element_at(F.col("_lk_terms"), s["value"]).alias("posterior")))
+    quote = F.transform(F.sort_array(F.map_keys("_lk_terms"), False), lambda w: F.replace(F.concat(
+        F.lit("\\Q"), F.regexp_replace(w, r"\\E", r"\\E\\\\E\\Q"), F.lit("\\E")), F.lit("i\u0307"), F.lit("\\E(?:i\u0307|\u0130)\\Q")))  # the one letter whose lower case is two
+    mark = r"[^\p{L}\p{M}\p{N}\x20\x09-\x0D]*+"
+    pattern = F.concat(F.lit(rf"(?iu)(?<![^\x20\x09-\x0D]){mark}(?:"), F.array_join(quote, "|"), F.lit(rf")(?={mark}(?![^\x20\x09-\x0D]))"))
+    bare = F.transform(_spans(F.col(text), pattern, len(KINDS)), lambda s: F.struct(
+        s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.regexp_replace(s["value"], EDGES, "").alias("value")))
+    found = F.transform(F.filter(bare, lambda s: F.map_contains_key(F.col("_lk_terms"), F.lower(s["value"]))), lambda s: F.struct(
+        (s["end"] - F.char_length(s["value"])).alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"),
+        F.element_at(F.col("_lk_terms"), F.lower(s["value"])).alias("posterior")))
     none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string,posterior:double>>")
     return joined.select(*[quoted(c) for c in df.columns], F.col(base).alias("_lk_base"),
                          F.when(F.col("_lk_terms").isNotNull(), found).otherwise(none).alias("_lk_added"))

@@ -107,6 +107,22 @@ def test_pii_terms(spark):
     assert "Zorblax" not in by_id(pii.sanitise(df))[66].text
 
 
+def test_pii_terms_are_folded(spark):
+    """Case and punctuation neither split the evidence nor hide an occurrence."""
+    rnd = random.Random(1)
+    w = lambda: "w%03d" % rnd.randrange(300) + "x"
+    beside = [(f, "a@b.fr") for f in ("Zorblax,", "zorblax", "(ZORBLAX)", "Zorblax:")] + [(f, "e@f.fr") for f in ("\u0130zmir,", "\u0130zmir;", "\u0130zmir")]
+    texts = [" ".join(w() for _ in range(8)) + f" {form} {address} " + " ".join(w() for _ in range(8)) for form, address in beside]
+    n = len(texts)
+    texts += [" ".join(w() for _ in range(200)) for _ in range(60)] + ["ask ((zorBlax)), ZORBLAX! un-zorblax \u0130zmir."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(pii.report(df))
+    assert [got[k].n_term for k in range(n)] == [1] * n
+    assert got[n + 60].spans == "term:6:13,term:17:24,term:37:42"
+    clean = by_id(pii.sanitise(df))[n + 60].text
+    assert "un-zorblax" in clean and "ZORBLAX" not in clean and "zorBlax" not in clean
+
+
 def test_wavelet(spark, docs, rows):
     rnd = np.random.default_rng(2)
     seq = rnd.integers(0, 200, 9001).astype(np.uint16)
