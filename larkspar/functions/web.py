@@ -114,13 +114,32 @@ def without_content_tags(html: Column) -> Column:
     return out
 
 
-def entities(x: Column) -> Column:
+def named_entities(x: Column) -> Column:
     """Named entities; the ampersand last, so that nothing is decoded twice."""
     for name, to in [*((k, v) for k, v in ENTITIES.items() if k != "amp"), ("amp", "&")]:
         x = F.replace(x, F.lit(f"&{name};"), F.lit(to))
     return x
 
 
+def entities(x: Column) -> Column:
+    """Named and numeric entities, each decoded once; a number that is no character stays as it is."""
+    pattern = F.lit(r"&#(?:[xX][0-9a-fA-F]+|[0-9]+);")
+
+    def one(e: Column) -> Column:
+        hexed = F.lower(F.substring(e, 3, 1)) == "x"
+        digits = F.regexp_extract(e, r"^&#[xX]?0*([0-9a-fA-F]*);", 1)
+        # more digits than any character has would overflow
+        n = F.when(F.char_length(digits) <= 7, F.when(hexed, F.conv(digits, 16, 10)).otherwise(digits).try_cast("long"))
+        n = F.when(digits == "", F.lit(0)).otherwise(n)
+        ok = (n < 0x110000) & ~n.between(0xD800, 0xDFFF)
+        return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise(e)
+
+    found = F.transform(F.regexp_extract_all(x, pattern, F.lit(0)), one)
+    between = F.transform(F.split(x, pattern, -1), named_entities)
+    both = F.transform(F.arrays_zip(between.alias("gap"), found.alias("hit")), lambda p: F.concat(p["gap"], F.coalesce(p["hit"], F.lit(""))))
+    return F.when(F.instr(x, "&#") > 0, F.array_join(both, "")).otherwise(named_entities(x))
+
+
 @F.pandas_udf(T.StringType())
 def numeric_entities(column: pd.Series) -> pd.Series:
     def one(m: re.Match) -> str:

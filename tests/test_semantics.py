@@ -124,3 +124,13 @@ def test_stream_appends_once(spark, sf, tmp_path):
     for k in range(2):
         incremental.ingest(incremental.event_stream(spark, str(tmp_path / "in"), schema), str(tmp_path / "out"), ["event_id"], str(tmp_path / f"c{k}")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 50
+
+
+def test_pages_with_numeric_entities(spark):
+    html = ("<html><title>L&#39;&#xC9;cole &amp;#39; &#38;lt;</title><body><h1>Caf&#233; &#X1F600;</h1><p>&#x41;&lt;&#66;&#0067; &#xD800; &#99999999999;</p>"
+            "<a href='/a&#63;b=1&amp;c'>it&#x27;s</a></body></html>")
+    row = spark.createDataFrame([(html,)], "h string").select(
+        web.title(F.col("h")).alias("title"), web.headings(F.col("h")).alias("headings"), web.html_text(web.main_html(F.col("h"))).alias("text"), web.anchors(F.col("h")).alias("anchors")).first()
+    assert row.title == "L'École &#39; &lt;" and [tuple(h) for h in row.headings] == [(1, "Café \U0001f600")]
+    assert row.text.split("\n")[1] == "A<B" + "C &#xD800; &#99999999999;"
+    assert [tuple(a) for a in row.anchors] == [("/a?b=1&c", "it's")]
