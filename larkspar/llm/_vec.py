@@ -270,6 +270,19 @@ def byte_letters() -> dict[int, str]:
     return table
 
 
+def with_added(tokenizer, text: str, at: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """ids and their ends a row, where rows of `text` that hold an added token's literal are encoded by the library."""
+    literals = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    if not any(x in text for x in literals):
+        return ids, ends
+    parts, cut = np.split(ids, ends[:-1]), at.tolist()
+    for k, (a, b) in enumerate(zip(cut, cut[1:])):
+        row = text[a:b]
+        if any(x in row for x in literals):
+            parts[k] = np.array(tokenizer.encode(row, add_special_tokens=False).ids, ids.dtype)
+    return np.concatenate(parts), np.cumsum([len(p) for p in parts])
+
+
 def model_ids(tokenizer) -> Callable[[list[str]], list]:
     """Ids of pre-tokens by the library's byte-level model."""
     model, letters = tokenizer.model, byte_letters()

@@ -45,13 +45,12 @@ def _encoder(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return _vec.PieceCoder(_vec.model_ids(tokenizer))
+    return tokenizer, _vec.PieceCoder(_vec.model_ids(tokenizer))
 
 
 def _tokens(path: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = held(path + "#pack", lambda _: _encoder(path))
+        tokenizer, coder = held(path + "#pack", lambda _: _encoder(path))
         part, ranks, whole = TaskContext.get().partitionId(), np.zeros(size // GRAIN + 1, np.int64), 0
         for batch in batches:
             for i, j, buf, offsets in _vec.slices(batch.column(1)):
@@ -60,6 +59,7 @@ def _tokens(path: str, size: int):
                 starts = _vec.byte_level_starts(cp, at)
                 ids, each = coder(cp, starts, np.append(starts[1:], len(cp)), joined)
                 ends = np.concatenate([[0], np.cumsum(each)])[np.searchsorted(starts, at[1:])]
+                ids, ends = _vec.with_added(tokenizer, joined, at, ids, ends)
                 raw = np.insert(ids, ends, END_ID).astype("<u2").tobytes()
                 n = np.diff(ends, prepend=0) + 1
                 ends = np.cumsum(n)

@@ -166,7 +166,6 @@ def _encoder(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return tokenizer, _vec.PieceCoder(_vec.model_ids(tokenizer))
 
 
@@ -196,11 +195,13 @@ def _encode(path: str):
         for batch in batches:
             doc_ids = batch.column(0)
             for i, j, buf, offsets in _vec.slices(batch.column(1)):
-                joined, at = lowered(*_vec.decoded(buf, offsets), tokenizer.normalizer.normalize_str)
+                text, text_at = _vec.decoded(buf, offsets)
+                joined, at = lowered(text, text_at, tokenizer.normalizer.normalize_str)
                 cp = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
                 start, end = _vec.word_level_spans(cp, at)
                 ids, each = coder(cp, start, end, joined)
                 ends = np.concatenate([[0], np.cumsum(each)])[np.searchsorted(start, at[1:])]
+                ids, ends = _vec.with_added(tokenizer, text, text_at, ids, ends)
                 ids = np.insert(ids, ends, END_ID)
                 docs.append(np.array(doc_ids[i:j].fill_null(np.iinfo(np.int64).min), dtype="<i8"))
                 sizes.append(np.diff(ends, prepend=0) + 1)

@@ -143,6 +143,24 @@ def test_wavelet(spark, docs, rows):
     assert wavelet.encoded_digests(empty(spark), P.path("word_bpe_49k.json")).count() == 0
 
 
+def test_added_tokens_are_one_id(spark):
+    """A literal added token in a text is the library's one id, and later documents start accordingly."""
+    from tokenizers import Tokenizer
+
+    texts = ["plain one", "end <|endoftext|> of", "<|startoftext|>É<|endoftext|><|endoftext|>", "", "<|ENDOFTEXT|> last"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tk, want, start = Tokenizer.from_file(P.path("word_bpe_49k.json")), [], 0
+    for i, t in enumerate(texts):
+        ids = [*tk.encode(t, add_special_tokens=False).ids, 1]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert [tuple(r) for r in wavelet.encoded_digests(df, P.path("word_bpe_49k.json")).orderBy("start").collect()] == want
+    tk = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    for r in packing.pack(df, P.path("byte_bpe_50k.json")).collect():
+        ids = np.array([*tk.encode(texts[r.doc_id], add_special_tokens=False).ids, 0], "<u4")
+        assert (r.start, r.length, r.doc_tokens, r.ids_crc32) == (0, len(ids), len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_language_model(spark, docs, plain, rows):
     got = by_id(lm.score_texts(docs))
     tokens = lambda t: [w.translate({c: c + 32 for c in range(65, 91)}) for w in words(t)] + ["\0"]
