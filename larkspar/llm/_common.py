@@ -107,25 +107,37 @@ def hot_salted(rows: DataFrame, counts: DataFrame, key: str, n: str, spread: str
     return left, right
 
 
+def keyed_join(rows: DataFrame, side: DataFrame, key: str, n: str, spread: str, most: int = BROADCAST_ROWS) -> DataFrame:
+    """rows joined with side, a written table of one row a key that counts key's rows in column n.
+
+    The side is broadcast up to `most` rows; beyond that the rows of hot keys are dealt over many tasks.
+    """
+    if side.limit(most + 1).count() <= most:
+        return rows.join(F.broadcast(side.drop(n)), key)
+    left, right = hot_salted(rows, side, key, n, spread)
+    return left.join(right.drop(n), [key, "_lk_salt"]).drop("_lk_salt")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, root) of every vertex of edges (a, b): root is the least id it is connected to.
 
-    Alternating large-star and small-star rounds, each written to the shared folder; every round only
-    groups by vertex with partial aggregation, and a star's centre is its least neighbour.
+    Alternating large-star and small-star rounds, each written to the shared folder. Vertices are grouped with
+    partial aggregation, and a star's centre, which a third of all edges may share, is joined by `keyed_join`.
     """
     links = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
-    seen = None
-    while True:
+    state, seen = (links.count(),), None
+    while state[0] and state != seen:
+        few = state[0] <= BROADCAST_ROWS // 2  # so are its vertices
+
+        def joined(rows: DataFrame, side: DataFrame) -> DataFrame:
+            return rows.join(F.broadcast(side.drop("n")), "u") if few else keyed_join(rows, written(side), "u", "n", "v")  # noqa: B023
+
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u")
-        links_next = (small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                      .unionByName(down.select("u", F.col("m").alias("v"))).where("u != v").distinct())
-        links = written(links_next)
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(state) == seen:
-            break
-        seen = tuple(state)
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = joined(both.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = large if few else written(large)
+        down = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = joined(large, down).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        links = written(small.unionByName(down.select("u", F.col("m").alias("v"))).where("u != v").distinct())
+        seen, state = state, tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     return links.select(F.col("u").alias("id"), F.col("v").alias("root"))

@@ -4,14 +4,21 @@ A document is the set of its five-word shingles; two documents are linked when t
 their sets is 0.8 or more. Each set is embedded into SIZE min-hash tokens, so that similarity becomes the
 share of equal tokens. A run sends a set down every token that a hash of (run, path, token) chooses, 1 / 0.8
 tokens on average: pairs at the threshold go on meeting as often as not, less similar ones part. A path
-with few sets is a bucket for brute force; a path with many is split by another step. RUNS independent runs
-bring the recall of a pair at the threshold over TARGET_RECALL even if its paths are split to the last step.
-
-Buckets only propose: members whose tokens agree enough are joined into loose components (a bucket emits one
-edge a member, never all its pairs). Within a loose component every pair is then compared exactly, on whole
-shingle sets, block against block, so a component of any size is dealt over many tasks and each task holds
-two blocks. Links are counted there and only one edge a member leaves a task. Copies (equal texts) are one
-set with a weight.
+with few sets is a bucket for brute force; a path with many is split by another step, as deep as it takes.
+RUNS independent runs bring the recall of a pair at the threshold over TARGET_RECALL if its paths are split
+to DEPTH; sets whose paths went deeper get more runs, until the depth they reached gives that recall too.
+
+What keeps a group of any size linear: a first look at CONTRACTING runs joins the sets of one bucket that agree
+enough (each with the bucket's pivot where it is large) and names each set by its component's root. Buckets
+that hold one root are dropped from then on. In a large bucket of several roots every set is measured against
+the pivot. Unequal tokens are a metric: with FAR the greatest distance of a proposed pair, and e the least
+distance from the pivot of a set not joined to it, sets nearer to the pivot than e - FAR can be near none of those
+and leave. Only the rest is split on.
+
+Buckets only propose: joined sets are loose components (a task emits a spanning forest of roots, never pairs).
+Within a loose component every pair is then compared exactly, on whole shingle sets, block against block, blocks
+being bounded by bytes, so a component of any size is dealt over many tasks and each task holds two blocks. Links
+are counted there and only one edge a member leaves a task. Copies (equal texts) are one set with a weight.
 
 Defined results: a null text is empty; a text of one to four words is one shingle; texts without words are
 linked to their exact copies only; a row is classed by its own text, so rows that share an id (or have none)
@@ -30,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _vec
-from ._common import bounded, components, fresh, id_text, quoted, text_key, with_first, written
+from ._common import bounded, components, fresh, hot_salted, id_text, keyed_join, quoted, text_key, with_first, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -39,7 +46,11 @@ BUCKET = 256
 DEPTH = 4
 TARGET_RECALL = 0.995
 LOOSE = 0.64  # three standard deviations of 64 tokens below the threshold
-BLOCK = 256
+FAR = SIZE - math.ceil(LOOSE * SIZE)  # unequal tokens of a proposed pair, at most
+CONTRACTING = 2
+BLOCK_BYTES = 4 << 20  # of shingle sets
+BLOCK = 4_096  # sets
+TILE = 512
 _U = np.uint64
 _SEEDS = _vec.mix(np.arange(1, 2 * SIZE + 1, dtype=_U))
 _A, _B = _SEEDS[:SIZE] | _U(1), _SEEDS[SIZE:]
@@ -54,7 +65,11 @@ def meeting_probability(depth: int, similarity: float = SIMILARITY, size: int =
     return p
 
 
-RUNS = math.ceil(math.log(1 - TARGET_RECALL) / math.log(1 - meeting_probability(DEPTH)))
+def runs_for(depth: int) -> int:
+    return math.ceil(math.log(1 - TARGET_RECALL) / math.log(1 - meeting_probability(depth)))
+
+
+RUNS = runs_for(DEPTH)
 
 
 def shingle_hashes(buf: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -104,15 +119,16 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, SIZE)
 
 
-def _first_step(runs: int, similarity: float):
+def _first_step(runs: list[int], similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            tokens = _matrix(batch.column(1))
-            for r in range(runs):
+            tokens = _matrix(batch.column("tokens"))
+            for r in runs:
                 rows, paths = _step(np.full(len(tokens), _vec.mix(np.array([r + 1], _U))[0]), tokens, similarity)
-                yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), batch.column(0).take(pa.array(rows))], ["path", "id"])
+                rows = pa.array(rows)
+                yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), batch.column("id").take(rows), batch.column("root").take(rows)], ["path", "id", "root"])
 
     return run
 
@@ -123,7 +139,8 @@ def _next_step(similarity: float):
             if not len(batch):
                 continue
             rows, paths = _step(np.array(batch.column("path")).view(_U), _matrix(batch.column("tokens")), similarity)
-            yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), batch.column("id").take(pa.array(rows))], ["path", "id"])
+            rows = pa.array(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(paths.view(np.int64)), batch.column("id").take(rows), batch.column("root").take(rows)], ["path", "id", "root"])
 
     return run
 
@@ -163,41 +180,50 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _proposals(loose: float):
-    """One edge a member from buckets sorted by key."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _grouped(batches, "key"):
-            key, ids = np.array(table.column("key")), np.array(table.column("id"))
-            tokens = np.frombuffer(b"".join(table.column("tokens").to_pylist()), np.uint32).reshape(-1, SIZE).astype(np.uint8)
-            pairs_a, pairs_b, d = [], [], 1
-            same = np.flatnonzero(key[d:] == key[:-d])
-            while len(same):
-                for lot in np.array_split(same, len(same) // 100_000 + 1):
-                    near = lot[(tokens[lot] == tokens[lot + d]).sum(1) >= loose * SIZE]
-                    pairs_a.append(near)
-                    pairs_b.append(near + d)
-                d += 1
-                same = np.flatnonzero(key[d:] == key[:-d])
-            if not pairs_a:
-                continue
-            a, b = np.concatenate(pairs_a), np.concatenate(pairs_b)
-            root = roots(len(ids), a, b)
-            tied = np.flatnonzero(root != np.arange(len(ids)))
-            tied = tied[ids[tied] != ids[root[tied]]]
-            if len(tied):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[tied]), pa.array(ids[root[tied]])], ["a", "b"])
-
-    return run
+def _forest(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """A spanning forest of the edges (a, b)."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root = roots(len(names), at[: len(a)], at[len(a) :])
+    tied = np.flatnonzero(root != np.arange(len(names)))
+    return pa.RecordBatch.from_arrays([pa.array(names[tied]), pa.array(names[root[tied]])], ["a", "b"])
+
+
+def _proposals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Brute force in buckets sorted by path: a forest of the roots whose sets agree enough."""
+    for table in _grouped(batches, "path"):
+        path, root = np.array(table.column("path")), np.array(table.column("root"))
+        tokens = _matrix(table.column("tokens")).astype(np.uint8)
+        pairs_a, pairs_b, d = [], [], 1
+        same = np.flatnonzero(path[d:] == path[:-d])
+        while len(same):
+            same = same[root[same] != root[same + d]]
+            for lot in np.array_split(same, len(same) // 100_000 + 1):
+                near = lot[(tokens[lot] == tokens[lot + d]).sum(1) >= SIZE - FAR]
+                pairs_a.append(root[near])
+                pairs_b.append(root[near + d])
+            d += 1
+            same = np.flatnonzero(path[d:] == path[:-d])
+        if pairs_a and (a := np.concatenate(pairs_a)).size:
+            yield _forest(a, np.concatenate(pairs_b))
+
+
+def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Unequal tokens of each set and its bucket's pivot."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        far = (_matrix(batch.column("tokens")) != _matrix(batch.column("pivot_tokens"))).sum(1)
+        yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("id"), batch.column("root"), batch.column("pivot_root"), pa.array(far.astype(np.int32))],
+                                         ["path", "id", "root", "pivot_root", "far"])
 
 
-def _blocked(rows: DataFrame, group: str, count: str, size: int) -> DataFrame:
+def _blocked(rows: DataFrame, group: str, blocks: str) -> DataFrame:
     """rows once for every pair of blocks of its group that its own block is in; column key names the pair."""
-    blocks = F.ceil(F.col(count) / size).cast("int")
-    rows = rows.withColumn("_lk_n", blocks).withColumn("_lk_b", F.pmod(F.xxhash64("id"), F.col("_lk_n")).cast("int"))
-    rows = rows.withColumn("_lk_o", F.explode(F.sequence(F.lit(0), F.col("_lk_n") - 1)))
+    rows = rows.withColumn("_lk_b", F.pmod(F.xxhash64("id"), F.col(blocks)).cast("int"))
+    rows = rows.withColumn("_lk_o", F.explode(F.sequence(F.lit(0), F.col(blocks) - 1)))
     low, high = F.least("_lk_b", "_lk_o"), F.greatest("_lk_b", "_lk_o")
     return (rows.withColumn("key", F.xxhash64(group, low, high)).withColumn("side", F.col("_lk_b") == low)
-            .withColumn("alone", low == high).drop("_lk_n", "_lk_b", "_lk_o"))
+            .withColumn("alone", low == high).drop("_lk_b", "_lk_o"))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,30 +237,55 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["id", "root", "copies", "shingles"])
 
 
-def linked(sets: list[np.ndarray], side: np.ndarray, alone: bool, similarity: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs whose exact Jaccard similarity reaches the threshold: across the sides, or all pairs of one block."""
-    m = len(sets)
-    size = np.array([len(s) for s in sets], np.int64)
-    values, column = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(m), size)
-    inter = np.zeros((m, m), np.float32)
-    width = max(1, (8 << 20) // m)
-    order = np.argsort(column, kind="stable")
-    column, row = column[order], row[order]
-    for low in range(0, len(values), width):
-        a, b = np.searchsorted(column, [low, low + width])
-        dense = np.zeros((m, min(width, len(values) - low)), np.float32)
-        dense[row[a:b], column[a:b] - low] = 1
-        inter += dense @ dense.T
+def _hits(left: list[np.ndarray], right: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Which pairs of a left and a right set reach the threshold exactly."""
+    sizes = [np.array([len(s) for s in x], np.int64) for x in (left, right)]
+    values = [np.concatenate(x) for x in (left, right)]
+    rows = [np.repeat(np.arange(len(x)), n) for x, n in zip((left, right), sizes)]
+    common = np.intersect1d(*(np.unique(v) for v in values), assume_unique=True)
+    inter = np.zeros((len(left), len(right)), np.float32)
+    if len(common):
+        for k in (0, 1):  # only what both sides have can count; sorted by column
+            at = np.minimum(np.searchsorted(common, values[k]), len(common) - 1)
+            held = np.flatnonzero(common[at] == values[k])
+            held = held[np.argsort(at[held], kind="stable")]
+            values[k], rows[k] = at[held], rows[k][held]
+        width = 4_096
+        for low in range(0, len(common), width):
+            dense = []
+            for k, x in enumerate((left, right)):
+                a, b = np.searchsorted(values[k], [low, low + width])
+                d = np.zeros((len(x), min(width, len(common) - low)), np.float32)
+                d[rows[k][a:b], values[k][a:b] - low] = 1
+                dense.append(d)
+            inter += dense[0] @ dense[1].T
     inter = inter.astype(np.int64)
-    union = size[:, None] + size[None, :] - inter
+    union = sizes[0][:, None] + sizes[1][None, :] - inter
     # five decimals of the threshold, in whole numbers
-    hit = inter * 100_000 >= round(similarity * 100_000) * union
-    hit &= (size > 0)[:, None]
-    hit &= np.triu(np.ones((m, m), bool), 1)
-    if not alone:
-        hit &= side[:, None] != side[None, :]
-    return np.nonzero(hit)
+    return (inter * 100_000 >= round(similarity * 100_000) * union) & (sizes[0] > 0)[:, None] & (sizes[1] > 0)[None, :]
+
+
+def linked(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, alone: bool, similarity: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """For each set the weight of its links and the least set it is connected to: across the sides, or within one block."""
+    m = len(sets)
+    weight, root = np.zeros(m, np.int64), np.arange(m)
+    halves = (np.arange(m), np.arange(m)) if alone else (np.flatnonzero(side), np.flatnonzero(~side))
+    tiles = [[h[i : i + TILE] for i in range(0, len(h), TILE)] for h in halves]
+    for i, left in enumerate(tiles[0]):
+        for j, right in enumerate(tiles[1]):
+            if alone and j < i:
+                continue
+            hit = _hits([sets[k] for k in left], [sets[k] for k in right], similarity)
+            own = alone and i == j
+            if own:
+                np.fill_diagonal(hit, False)
+            weight[left] += hit @ copies[right]
+            if not own:
+                weight[right] += copies[left] @ hit
+            a, b = np.nonzero(hit & (root[left][:, None] != root[right][None, :]))
+            if len(a):
+                root = roots(m, np.concatenate([np.arange(m), left[a]]), np.concatenate([root, right[b]]))
+    return weight, root
 
 
 def _exact(similarity: float):
@@ -245,46 +296,84 @@ def _exact(similarity: float):
             side, alone = np.array(table.column("side")), np.array(table.column("alone"))
             copies, blobs = np.array(table.column("copies")), table.column("shingles").to_pylist()
             cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-            out_a, out_b, out_n = [], [], []
+            out = []
             for low, high in zip(cut[:-1].tolist(), cut[1:].tolist()):
                 if high - low < 2:
                     continue
-                a, b = linked([np.frombuffer(x, _U) for x in blobs[low:high]], side[low:high], bool(alone[low]), similarity)
-                if not len(a):
-                    continue
-                weight = np.zeros(high - low, np.int64)
-                np.add.at(weight, a, copies[low:high][b])
-                np.add.at(weight, b, copies[low:high][a])
-                root = roots(high - low, a, b)
+                weight, root = linked([np.frombuffer(x, _U) for x in blobs[low:high]], copies[low:high], side[low:high], bool(alone[low]), similarity)
                 some = np.flatnonzero(weight)
-                out_a.append(ids[low:high][some])
-                out_b.append(ids[low:high][root[some]])
-                out_n.append(weight[some])
-            if out_a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_a, out_b, out_n)], ["a", "b", "links"])
+                out.append((ids[low:high][some], ids[low:high][root[some]], weight[some]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["a", "b", "links"])
 
     return run
 
 
-def loose_edges(sketches: DataFrame, runs: int, similarity: float) -> DataFrame:
-    """Edges proposed by the buckets of all runs."""
-    frontier = sketches.mapInArrow(_first_step(runs, similarity), "path long, id long")
-    found = None
-    for depth in range(1, DEPTH + 1):
-        frontier = written(frontier)
-        counts = frontier.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        many = counts.where(F.col("n") > BUCKET)
-        last = depth == DEPTH
-        some = counts if last else counts.where(F.col("n") <= BUCKET)
-        held = frontier.join(some, "path").join(bounded(sketches, 200_000), "id")
-        edges = written(_blocked(held, "path", "n", BUCKET).select("key", "id", "tokens").repartition("key").sortWithinPartitions("key")
-                        .mapInArrow(_proposals(LOOSE), "a long, b long").distinct())
-        found = edges if found is None else found.unionByName(edges)
-        if last or not many.limit(1).count():
+_FRONTIER = "path long, id long, root long"
+_TOKENS_BROADCAST = 100_000  # rows of 64 tokens: about 26 MB
+_PIVOTS_BROADCAST = 50_000  # likewise
+
+
+def _bucketed(frontier: DataFrame) -> DataFrame:
+    """Rows of the paths on which several roots meet, with the path's number of rows."""
+    paths = written(frontier.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("path", "n"))
+    left, right = hot_salted(frontier, paths, "path", "n", "id")
+    return written(left.join(right, ["path", "_lk_salt"]).drop("_lk_salt"))
+
+
+def _measured(big: DataFrame) -> DataFrame:
+    """path, id, root, pivot_root, far: the rows of large buckets, measured against one set of their bucket."""
+    pivots = written(big.groupBy("path").agg(F.min(F.struct(F.xxhash64("path", "id").alias("h"), "id", "root", "tokens")).alias("p"), F.first("n").alias("n"))
+                     .select("path", "n", F.col("p.root").alias("pivot_root"), F.col("p.tokens").alias("pivot_tokens")))
+    held = keyed_join(big.drop("n"), pivots, "path", "n", "id", _PIVOTS_BROADCAST)
+    return written(held.select("path", "id", "root", "tokens", "pivot_root", "pivot_tokens").mapInArrow(_distances, f"{_FRONTIER}, pivot_root long, far int"))
+
+
+def _wave(sketches: DataFrame, runs: list[int], similarity: float, split: bool = True) -> tuple[DataFrame, DataFrame | None, int]:
+    """Edges (a, b) between roots proposed by the buckets of these runs, ids whose paths went below DEPTH, and the depth reached."""
+    tokens = bounded(sketches.select("id", "tokens"), _TOKENS_BROADCAST)
+    frontier = written(sketches.mapInArrow(_first_step(runs, similarity), _FRONTIER))
+    found, deep, depth = [], None, 1
+    while True:
+        rows = _bucketed(frontier)
+        small = rows.where(F.col("n") <= BUCKET).drop("n").join(tokens, "id")
+        found.append(written(small.select("path", "root", "tokens").repartition("path").sortWithinPartitions("path").mapInArrow(_proposals, "a long, b long")))
+        big = rows.where(F.col("n") > BUCKET)
+        if not big.limit(1).count():
+            break
+        far = _measured(big.join(tokens, "id"))
+        found.append(far.where((F.col("far") <= FAR) & (F.col("root") != F.col("pivot_root"))).select(F.col("root").alias("a"), F.col("pivot_root").alias("b")).distinct())
+        if not split:
             break
-        # paths with over BUCKET sets: few, and at most rows / BUCKET
-        frontier = frontier.join(many.select("path"), "path").join(bounded(sketches, 200_000), "id").mapInArrow(_next_step(similarity), "path long, id long")
-    return found
+        outer = written(far.groupBy("path").agg(F.min(F.when((F.col("far") > FAR) & (F.col("root") != F.col("pivot_root")), F.col("far"))).alias("outer"), F.count(F.lit(1)).alias("n"))
+                        .where("outer is not null"))
+        on = keyed_join(far.select("path", "id", "root", "far"), outer, "path", "n", "id").where(F.col("far") >= F.col("outer") - FAR)
+        if depth >= DEPTH:
+            ids = written(on.select("id").distinct())
+            deep = ids if deep is None else deep.unionByName(ids)
+        frontier = written(on.select("path", "id", "root").join(tokens, "id").mapInArrow(_next_step(similarity), _FRONTIER))
+        depth += 1
+    edges = found[0]
+    for more in found[1:]:
+        edges = edges.unionByName(more)
+    return edges, deep, depth
+
+
+def loose_components(sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(id, root) of the sets (id, tokens) that buckets join to others, from enough runs for the target recall."""
+    def rooted(rows: DataFrame, known: DataFrame) -> DataFrame:
+        return written(rows.join(bounded(known), "id", "left").withColumn("root", F.coalesce("root", "id")))
+
+    edges, _, _ = _wave(sketches.withColumn("root", F.col("id")), [1 << 20 | r for r in range(CONTRACTING)], similarity, split=False)
+    joined = written(components(edges))
+    done, need, some = 0, RUNS, sketches
+    while done < need:
+        edges, deep, depth = _wave(rooted(some, joined), list(range(done, need)), similarity)
+        joined = written(components(edges.unionByName(joined.select(F.col("id").alias("a"), F.col("root").alias("b")))))
+        done = need
+        if deep is not None:  # only pairs of these sets may have met too seldom
+            need, some = max(need, runs_for(depth)), sketches.join(bounded(deep.distinct()), "id", "left_semi")
+    return joined
 
 
 def keyed(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -323,13 +412,13 @@ def classes(df: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id
     rows, odd = keyed(id_text(df, id_col, text_col))
     own = rows.where(F.col("first").eqNullSafe(F.col("doc_id")))
     sketches = written(own.select(F.col("key").alias("id"), "text").mapInArrow(_sketches, "id long, tokens binary").dropDuplicates(["id"]))
-    loose = written(components(loose_edges(sketches, RUNS, similarity)))
-    members = loose.unionByName(loose.select(F.col("root").alias("id"), "root").distinct())
-    members = written(members)
+    loose = loose_components(sketches, similarity)
+    members = written(loose.unionByName(loose.select(F.col("root").alias("id"), "root").distinct()))
     text = own.select(F.col("key").alias("id"), "text", "copies").join(bounded(members), "id").dropDuplicates(["id"])
     sets = written(text.select("id", "root", "copies", "text").mapInArrow(_sets, "id long, root long, copies long, shingles binary"))
-    size = bounded(written(sets.groupBy("root").agg(F.count(F.lit(1)).alias("n"))))
-    blocks = _blocked(sets.join(size, "root"), "root", "n", BLOCK)
+    blocks = F.greatest(F.ceil(F.sum(F.octet_length("shingles").cast("long")) / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK), F.lit(1)).cast("int")
+    size = written(sets.groupBy("root").agg(F.count(F.lit(1)).alias("n"), blocks.alias("blocks")))
+    blocks = _blocked(keyed_join(sets, size, "root", "n", "id"), "root", "blocks")
     exact = written(blocks.select("key", "id", "side", "alone", "copies", "shingles").repartition("key").sortWithinPartitions("key")
                     .mapInArrow(_exact(similarity), "a long, b long, links long"))
     links = exact.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "key")

@@ -263,6 +263,7 @@ def test_near_duplicates_of_rows_that_share_an_id(spark, top):
 def test_blocks_find_all_links(spark, monkeypatch):
     """A group over several blocks and buckets: the same links as all pairs."""
     monkeypatch.setattr(ngram_jaccard, "BLOCK", 8)
+    monkeypatch.setattr(ngram_jaccard, "TILE", 3)
     monkeypatch.setattr(ngram_jaccard, "BUCKET", 8)
     base = [f"w{k}" for k in range(100)]
     texts = [" ".join(base[:k] + [f"e{k}"] + base[k + 1 :]) for k in range(5, 45)]
