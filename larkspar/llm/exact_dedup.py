@@ -6,8 +6,10 @@ tests each row's cells: a row with a cell that nobody else hit is certainly uniq
 straight through; only the possibly repeated rows shuffle, by digest, to be settled exactly. False
 positives of the filter cost a little shuffle and never change the result.
 
-The filter has a fixed greatest size, so its broadcast is bounded whatever the input; beyond the
-rows that this size serves well, the probe is a shuffled join on the bitmap's bucket instead.
+The filter has 16 bits a row. Up to MAX_FILTER_BITS its bitmaps are broadcast. Beyond that no machine need
+hold it: each bitmap meets, by a shuffle on its page number, the rows of digests and ids alone (under 100 bytes a
+row, no text). `exact_groups` reads the texts once whatever the size; `deduplicate` then shuffles each row's text
+once, by digest, since no bounded filter can tell the unique rows apart any more.
 
 Defined results: a null text counts as empty; a null id sorts below all others; of equal texts the
 row with the largest id stays; rows that share both text and id count as copies and, in `deduplicate`,
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from ._common import fresh, quoted, written
 
 PAGE_BITS = 32_768  # of one bitmap as Spark's bitmap functions lay it out
-MAX_FILTER_BITS = 1 << 28  # 32 MB broadcast at most
+MAX_FILTER_BITS = 1 << 28  # of a broadcast filter: 32 MB
 BITS_PER_ROW = 16
 HOT_SHARE = 1_000  # a group with over 1/1000 of the candidate rows is hot; there are at most 1000
 
@@ -34,7 +36,7 @@ def _cells(text: Column, bits: int) -> list[Column]:
 
 def filter_bits(rows: int) -> int:
     bits = PAGE_BITS
-    while bits < rows * BITS_PER_ROW and bits < MAX_FILTER_BITS:
+    while bits < rows * BITS_PER_ROW:
         bits *= 2
     return bits
 
@@ -80,18 +82,17 @@ def _groups(candidates: DataFrame, id_name: str, digest: str) -> tuple[DataFrame
     return groups.where(F.col("_lk_size") > limit), groups.where((F.col("_lk_size") <= limit) & (F.col("_lk_size") > 1))
 
 
-def _plan(df: DataFrame, text: Column) -> tuple[int, bool]:
-    rows = df.count()
-    return filter_bits(rows), rows * 2 <= MAX_FILTER_BITS
+def _plan(rows: int, most: int) -> tuple[int, bool]:
+    bits = filter_bits(rows)
+    return bits, bits <= most
 
 
-def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of df: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = df.select(F.col(quoted(id_col)).alias("doc_id"), F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("_lk_text"))
-    bits, small = _plan(df, F.col("_lk_text"))
-    flagged = (with_candidate_flag(rows, F.col("_lk_text"), "_lk_maybe", bits, small)
-               .select("doc_id", F.sha2("_lk_text", 256).alias("text_sha256"), "_lk_maybe"))
-    flagged = written(flagged)
+def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bits: int = MAX_FILTER_BITS) -> DataFrame:
+    """One row per row of df: doc_id, keep_id, group_size, kept, text_sha256. The texts are read once."""
+    text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
+    lean = written(df.select(F.col(quoted(id_col)).alias("doc_id"), F.sha2(text, 256).alias("text_sha256")))
+    bits, small = _plan(lean.count(), most_bits)
+    flagged = written(with_candidate_flag(lean, F.col("text_sha256"), "_lk_maybe", bits, small).select("doc_id", "text_sha256", "_lk_maybe"))
     maybe = flagged.where("_lk_maybe")
     hot, other = _groups(maybe, "doc_id", "text_sha256")
     held = maybe.join(F.broadcast(hot), "text_sha256", "left")
@@ -105,17 +106,20 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                         F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256")
 
 
-def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bits: int = MAX_FILTER_BITS) -> DataFrame:
     """df without the rows whose text a row with a larger id has; columns as they were."""
     text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
     flag, digest, keep = fresh(df, "maybe", "digest", "keep")
-    bits, small = _plan(df, text)
-    flagged = with_candidate_flag(df, text, flag, bits, small)
-    unique = flagged.where(~F.col(flag)).select(*[quoted(c) for c in df.columns])
-    maybe = flagged.where(flag).withColumn(digest, F.sha2(text, 256))
+    columns = [quoted(c) for c in df.columns]
+    bits, small = _plan(df.count(), most_bits)
+    if small:
+        flagged = with_candidate_flag(df, text, flag, bits)
+        unique, maybe = flagged.where(~F.col(flag)).select(*columns), flagged.where(flag).withColumn(digest, F.sha2(text, 256))
+    else:
+        unique, maybe = df.limit(0), df.withColumn(digest, F.sha2(text, 256))
     # The aggregate moves (digest, id), combined before the shuffle. The join's keys are digest and id
     # together, so even one group with a third of all rows is dealt over all tasks.
     groups = maybe.groupBy(F.col(digest).alias(digest + "_g")).agg(F.max(quoted(id_col)).alias(keep))
     kept = (maybe.join(groups, (F.col(digest) == F.col(digest + "_g")) & F.col(quoted(id_col)).eqNullSafe(F.col(keep)))
-            .dropDuplicates([digest]).select(*[quoted(c) for c in df.columns]))
+            .dropDuplicates([digest]).select(*columns))
     return unique.unionByName(kept)
