@@ -15,7 +15,8 @@ task. Only terms near an entity are ever counted over the corpus; they are broad
 count and joined by shuffle beyond it.
 
 Defined results: a null text is empty and has no spans; an empty table gives an empty result; rows that
-share an id are separate rows; other columns pass through. Patterns are possessive, so very long texts
+share an id are separate rows, and rows equal in id and text count as one document in the statistics and each
+get their spans; other columns pass through, whatever their names. Patterns are possessive, so very long texts
 neither backtrack nor recurse.
 """
 
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import fresh, quoted, written
+from ._common import bounded, fresh, quoted, written
 
 # Fixed patterns; possessive forms match the same as greedy ones where nothing can follow, and the
 # look-behind only spares attempts inside a run from whose start the match has failed already.
@@ -125,6 +126,32 @@ def _terms(words: Column) -> Column:
     return F.filter(F.array_distinct(F.transform(words, lambda w: F.lower(F.regexp_replace(w, EDGES, "")))), lambda w: w != "")
 
 
+def _last(words: Column, n: int) -> Column:
+    return F.reverse(F.slice(F.reverse(words), 1, n))
+
+
+def _beside(mention: DataFrame, n: int) -> DataFrame:
+    """mention(text, s, ...) plus window: the n words on either side of s, however long they are.
+
+    A short stretch of text is looked at first; where it does not hold n whole words, the rest of the text is.
+    """
+    reach = 40 * n
+    start, end = F.col("s.start"), F.col("s.end")
+    near = mention.withColumns({
+        "_before": F.substring("text", F.greatest(start - reach, F.lit(0)) + 1, F.least(start, F.lit(reach))),
+        "_after": F.substring("text", end + 1, F.lit(reach))})
+    kept = lambda pieces: F.filter(pieces, lambda w: w != "")
+    pieces = F.split("_after", WHITE)
+    near = near.withColumns({  # without the word that the stretch may cut
+        "_left": kept(F.slice(F.split("_before", WHITE), F.lit(2), F.lit(reach))),
+        "_right": kept(F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0))))})
+    left = (F.when(start <= reach, _last(_words(F.col("_before")), n)).when(F.size("_left") >= n, _last(F.col("_left"), n))
+            .otherwise(_last(_words(F.substring(F.col("text"), F.lit(1), start)), n)))
+    right = (F.when(F.char_length("_after") < reach, F.slice(_words(F.col("_after")), 1, n)).when(F.size("_right") >= n, F.slice("_right", 1, n))
+             .otherwise(F.slice(_words(F.substring(F.col("text"), end + 1, F.char_length("text"))), 1, n)))
+    return near.withColumn("window", F.concat(left, right)).drop("_before", "_after", "_left", "_right")
+
+
 def term_table(rows: DataFrame, near: DataFrame, min_contexts: int = MIN_CONTEXTS, slack_bits: float = SLACK_BITS,
                context_words: int = CONTEXT_WORDS) -> DataFrame:
     """(term, posterior, pmi, ic): the corpus's disclosing terms.
@@ -133,13 +160,8 @@ def term_table(rows: DataFrame, near: DataFrame, min_contexts: int = MIN_CONTEXT
     A term is a white-space word in lower case without punctuation at its edges; a context is the `context_words` words on either side of a mention.
     """
     mention = near.select("_lk_row", "text", F.explode("spans").alias("s"))
-    reach = 40 * context_words  # code points looked at on either side
-    before = F.substring("text", F.greatest(F.col("s.start") - reach, F.lit(0)) + 1, F.least(F.col("s.start"), F.lit(reach)))
-    after = F.substring("text", F.col("s.end") + 1, F.lit(reach))
-    left = F.reverse(F.slice(F.reverse(_words(before)), 1, context_words))
-    right = F.slice(_words(after), 1, context_words)
     entity = F.xxhash64(F.col("s.kind"), F.lower(F.when(F.col("s.kind") >= 2, _digits(F.col("s.value"))).otherwise(F.col("s.value"))))
-    seen = mention.select("_lk_row", entity.alias("entity"), F.concat(left, right).alias("window"))
+    seen = _beside(mention, context_words).select("_lk_row", entity.alias("entity"), "window")
     seen = (seen.withColumn("context", F.xxhash64("window"))
             .select("_lk_row", "entity", "context", F.explode(_terms(F.col("window"))).alias("term"))
             # a term must carry information itself: a base value or punctuation is no term
@@ -162,10 +184,9 @@ def term_table(rows: DataFrame, near: DataFrame, min_contexts: int = MIN_CONTEXT
         return pairs.select("term", F.lit(0.0).alias("posterior"), F.lit(0.0).alias("pmi"), F.lit(0.0).alias("ic")).limit(0)
     side = F.broadcast(terms) if few <= BROADCAST_TERMS else terms
     words = rows.select("_lk_row", F.explode(_terms(_words(F.col("text")))).alias("term"))
-    held = words.join(side, "term")
+    held = words.join(side, "term").distinct()  # rows equal in id and text are one document
     term_docs = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    known = pairs.select("entity").distinct()
-    entities = entities.join(F.broadcast(known) if few <= BROADCAST_TERMS else known, "entity")
+    entities = entities.join(bounded(pairs.select("entity").distinct(), BROADCAST_TERMS), "entity")
     both = (held.join(entities, "_lk_row").join(pairs.select("entity", "term"), ["entity", "term"])
             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")))
     total = rows.agg(F.count(F.lit(1)).alias("n_all"))
@@ -178,46 +199,45 @@ def term_table(rows: DataFrame, near: DataFrame, min_contexts: int = MIN_CONTEXT
             .groupBy("term").agg(F.max("posterior").alias("posterior"), F.max("pmi").alias("pmi"), F.max("ic").alias("ic")))
 
 
-def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
-    """df's columns plus two arrays: base (spans) and added (terms, value = the text itself)."""
-    text, row, base, added = fresh(df, "text", "rownum", "base", "added")
+_ADDED = "array<struct<start:int,kind:int,end:int,value:string,posterior:double>>"
+
+
+def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> tuple[DataFrame, str, str]:
+    """df plus two arrays, and their names: base spans, and added ones (terms, value = the text itself)."""
+    text, row, base, added, terms_of = fresh(df, "text", "row", "base", "added", "terms")
     data = df.withColumns({text: F.coalesce(F.col(quoted(text_col)), F.lit(""))})
-    data = data.withColumn(base, base_spans(F.col(text)))
-    row_key = F.xxhash64(F.col(quoted(id_col)), F.col(text))
-    lean = data.select(row_key.alias("_lk_row"), F.col(text).alias("text"))
-    near = written(data.select(row_key.alias("_lk_row"), F.col(text).alias("text"), F.col(base).alias("spans")).where(F.size("spans") > 0))
+    data = data.withColumns({base: base_spans(F.col(text)), row: F.xxhash64(F.col(quoted(id_col)), F.col(text))})
+    lean = data.select(F.col(row).alias("_lk_row"), F.col(text).alias("text"))
+    near = written(data.select(F.col(row).alias("_lk_row"), F.col(text).alias("text"), F.col(base).alias("spans")).where(F.size("spans") > 0))
     terms = written(term_table(lean, near, **limits))
-    n = terms.limit(BROADCAST_TERMS + 1).count()
-    if not n:
-        return data.withColumns({added: F.array().cast("array<struct<start:int,kind:int,end:int,value:string,posterior:double>>")}).select(
-            *[quoted(c) for c in df.columns], F.col(base).alias("_lk_base"), F.col(added).alias("_lk_added"))
-    side = F.broadcast(terms) if n <= BROADCAST_TERMS else terms
-    hits = (lean.select("_lk_row", F.explode(_terms(_words(F.col("text")))).alias("term"))
-            .join(side, "term").groupBy("_lk_row").agg(F.map_from_entries(F.collect_list(F.struct("term", "posterior"))).alias("_lk_terms")))
-    joined = data.withColumn("_lk_row", row_key).join(hits, "_lk_row", "left")
-    quote = F.transform(F.sort_array(F.map_keys("_lk_terms"), False), lambda w: F.replace(F.concat(
+    out, none = [*[quoted(c) for c in df.columns], base], F.array().cast(_ADDED)
+    if not terms.limit(1).count():
+        return data.select(*out, none.alias(added)), base, added
+    hits = (lean.select("_lk_row", F.explode(_terms(_words(F.col("text")))).alias("term")).join(bounded(terms, BROADCAST_TERMS), "term")
+            .select("_lk_row", "term", "posterior").distinct()
+            .groupBy(F.col("_lk_row").alias(row)).agg(F.map_from_entries(F.collect_list(F.struct("term", "posterior"))).alias(terms_of)))
+    joined, held = data.join(hits, row, "left"), F.col(terms_of)
+    quote = F.transform(F.sort_array(F.map_keys(held), False), lambda w: F.replace(F.concat(
         F.lit("\\Q"), F.regexp_replace(w, r"\\E", r"\\E\\\\E\\Q"), F.lit("\\E")), F.lit("i\u0307"), F.lit("\\E(?:i\u0307|\u0130)\\Q")))  # the one letter whose lower case is two
     mark = r"[^\p{L}\p{M}\p{N}\x20\x09-\x0D]*+"
     pattern = F.concat(F.lit(rf"(?iu)(?<![^\x20\x09-\x0D]){mark}(?:"), F.array_join(quote, "|"), F.lit(rf")(?={mark}(?![^\x20\x09-\x0D]))"))
     bare = F.transform(_spans(F.col(text), pattern, len(KINDS)), lambda s: F.struct(
         s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.regexp_replace(s["value"], EDGES, "").alias("value")))
-    found = F.transform(F.filter(bare, lambda s: F.map_contains_key(F.col("_lk_terms"), F.lower(s["value"]))), lambda s: F.struct(
+    found = F.transform(F.filter(bare, lambda s: F.map_contains_key(held, F.lower(s["value"]))), lambda s: F.struct(
         (s["end"] - F.char_length(s["value"])).alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"),
-        F.element_at(F.col("_lk_terms"), F.lower(s["value"])).alias("posterior")))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string,posterior:double>>")
-    return joined.select(*[quoted(c) for c in df.columns], F.col(base).alias("_lk_base"),
-                         F.when(F.col("_lk_terms").isNotNull(), found).otherwise(none).alias("_lk_added"))
+        F.element_at(held, F.lower(s["value"])).alias("posterior")))
+    return joined.select(*out, F.when(held.isNotNull(), found).otherwise(none).alias(added)), base, added
 
 
 def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term per row."""
-    found = find(df.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text")), **limits)
-    base = F.col("_lk_base")
-    bare = F.transform(F.col("_lk_added"), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value")))
+    found, base, added = find(df.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text")), **limits)
+    base = F.col(base)
+    bare = F.transform(F.col(added), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value")))
     counts = [F.size(F.filter(base, _of_kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(_named(base), 256).alias("base_sha256"),
                         _named(F.array_sort(F.concat(base, bare))).alias("spans"),
-                        F.size("_lk_added").cast("long").alias("n_term"))
+                        F.size(added).cast("long").alias("n_term"))
 
 
 def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
@@ -226,12 +246,12 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **li
     Where spans overlap, the one that starts first covers the others. A null text stays null, and a text
     without spans is returned as it was.
     """
-    found = find(df, id_col, text_col, **limits)
+    found, bases, added = find(df, id_col, text_col, **limits)
     text = F.col(quoted(text_col))
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    base = F.transform(F.col("_lk_base"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+    base = F.transform(F.col(bases), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                                              F.element_at(tags, s["kind"] + 1).alias("tag")))
-    more = F.transform(F.col("_lk_added"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+    more = F.transform(F.col(added), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                                               F.when(s["posterior"] >= REMOVE_AT, F.lit("")).otherwise(F.lit("[TERM]")).alias("tag")))
     every = F.array_sort(F.concat(base, more))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
