@@ -1,22 +1,21 @@
-"""Language-model scoring with an n-gram trie of sorted hashes.
-
-Counting: every task packs its (word, context) counts into one sorted block a shard, shards being ranges
-of the word hash; a shard's task merges them. A pair seen once is pruned and its mass goes to the back-off.
-The model is an interpolated absolute-discount bigram over a discounted unigram whose left-over mass belongs
-to the unknown word.
-
-The trie is keyed by the predicted word, then its context. Level one holds the sorted word hashes as
-a plain directory of the high bits and the low 32 bits apart (not Elias-Fano: nothing is coded with select,
-and nothing is mapped from a file), exact counts, a quantised
-back-off weight a word, and plain pointers into level two, which holds for each word the sorted 32-bit
-context hashes and a quantised smoothed log-probability. A query finds the word by its bucket and the
-context by successor search within the word's own segment.
-
-With b(v) the back-off weight of context v, a seen pair stores log p(w|v) - b(v) and an unseen one costs
-log p(w), so a text's score is the sum over its tokens of one term that needs only the token's shard and
-one, b, that needs only its context's. Shards are therefore scored apart: a block of shards of at most
-BLOCK_BYTES is broadcast at a time, its part of the scores is written, the block is let go, and the parts
-are summed, so the model may be larger than any machine.
+"""Language-model scoring with an Elias-Fano n-gram trie.
+
+The model is an interpolated absolute-discount bigram over a discounted unigram whose left-over mass belongs to
+the unknown word; every pair seen enters it (`least_pairs` may ask for more). The trie is keyed by the predicted
+word, then its context. Its levels are Elias-Fano sequences laid out one after the other and queried in place, in
+the buffer a task is handed or in a mapped file (`Trie` takes either): the sorted word hashes; the running sum of
+their counts; monotone pointers into level two; and there, made monotone over all words by the word's rank, the
+32-bit hashes of the contexts. Smoothed log-probabilities and back-off weights stay one-byte codes with a codebook.
+A query finds the word by successor search and then its context by successor search within the word's own segment.
+
+With b(v) the back-off weight of context v, a seen pair stores log p(w|v) - b(v) and an unseen one costs log p(w), so
+a text's score is the sum over its tokens w after v of one term that needs w's shard only, plus b(w), which is there
+too (each text's end stands for the start of the text, its first context). So shards, dealt by the hash of the word,
+are scored apart, and each once, whatever the model's size: a task sends the (word, context, row) queries of its texts
+to the shards that hold the words, each shard answers with a sum a row, and a text's sums are added up. No machine
+holds more than one shard, and nothing of the model is broadcast or collected. Words that a task sees oftener than
+one time in HOT_SHARE are dealt by word and context, so that no shard holds all contexts of a common word;
+only their totals (HOT_SHARE words at most) go to every task.
 
 Defined results: a null text is empty and scores its end token; rows that share an id are scored each; null
 ids hash as the empty text; with no training rows every word is unknown and scores 0; an empty table gives
@@ -25,25 +24,31 @@ an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import _vec
-from ._common import bounded, id_text, written
+from . import _vec, elias_fano
+from ._common import hot_salted, id_text, written
 
-SHARD_BYTES = 12 << 20  # of training text
-BLOCK_BYTES = 64 << 20
+SHARD_BYTES = 12 << 20  # of text
 FLUSH = 1_000_000
+HOT_SHARE = 1_000
+HOT_LEAST = 200_000  # a word seen less often is not hot: its contexts are no load
 HELD_OUT = (7, 2)
 _U = np.uint64
 END = _U(0xA5B35705F00DFACE)
-REDUCED = "shard int, tokens long, words long, w1 long, w2 long, p1 long, p2 long, word binary, count binary, at binary, context binary, pairs binary"
-OUT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+PACKED = "shard int, word binary, runs binary, context binary, n binary"
+MERGED = "shard int, tokens long, words long, w1 long, w2 long, p1 long, p2 long, word binary, count binary, at binary, context binary, pairs binary"
+QUERIES = "shard int, part int, block int, word binary, runs binary, context binary, uses binary, row binary, n binary, docs binary"
+ANSWERS = "shard int, part int, block int, row binary, known binary, base binary, score binary, docs binary"
+OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def _zip(a: np.ndarray) -> bytes:
@@ -74,31 +79,70 @@ def tokens(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _contexts(h: np.ndarray) -> np.ndarray:
-    """A text's first word follows an end."""
-    return np.concatenate([[END], h[:-1]]).astype(_U)
+    """A text's first word follows an end. Contexts are known by the high 32 bits of their hash."""
+    return np.concatenate([[END], h[:-1]]).astype(_U) >> _U(32)
 
 
-def _pack(bits: int):
+def _common_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n) of the words that are at least one in 4 * HOT_SHARE of a slice's tokens."""
+    for batch in batches:
+        for _, _, buf, offsets in _vec.slices(batch.column(1)):
+            h, _ = tokens(buf, offsets)
+            word, n = np.unique(h, return_counts=True)
+            many = n * 4 * HOT_SHARE >= len(h)
+            yield pa.RecordBatch.from_arrays([pa.array(word[many].view(np.int64)), pa.array(n[many])], ["word", "n"])
+
+
+def _shards(word: np.ndarray, context: np.ndarray, bits: int, hot: np.ndarray) -> np.ndarray:
+    """By the word; a hot word's contexts by word and context."""
+    out = word >> _U(64 - bits)
+    if len(hot):
+        at = np.flatnonzero(hot[np.minimum(np.searchsorted(hot, word), len(hot) - 1)] == word)
+        out[at] = _vec.mix(word[at] ^ _vec.mix(context[at])) >> _U(64 - bits)
+    return out.astype(np.int64)
+
+
+def _lots(words: np.ndarray, contexts: np.ndarray, bits: int, hot: np.ndarray):
+    """The distinct pairs in order of (shard, word, context): shard, word, context, and each token's pair."""
+    shard = _shards(words, contexts, bits, hot)
+    word, index = np.unique(words, return_inverse=True)
+    key = index.astype(_U) << _U(32) | contexts
+    pair, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+    order = np.argsort(shard[first], kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    pair = pair[order]
+    return shard[first][order], word[(pair >> _U(32)).astype(np.int64)], pair.astype(np.uint32), place[inverse]
+
+
+def _runs(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words that follow each other, once, and how often each."""
+    new = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    return word[new], np.diff(np.append(new, len(word))).astype(np.uint32)
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*rows), fields)], [n for n, _ in fields])
+
+
+def _pack(bits: int, hot: np.ndarray):
+    """The pairs of training texts and their counts, a block a shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
 
         def flush():
             words, contexts = (np.concatenate(x) for x in zip(*held))
-            contexts = contexts >> _U(32)
-            word, index = np.unique(words, return_inverse=True)
-            key, n = np.unique(index.astype(_U) << _U(32) | contexts, return_counts=True)
-            owner = (key >> _U(32)).astype(np.int64)
-            shard = (word >> _U(64 - bits)).astype(np.int64)
-            cut = np.searchsorted(shard, np.arange((1 << bits) + 1))
-            pair_cut = np.searchsorted(owner, cut)
+            shard, word, context, place = _lots(words, contexts, bits, hot)
+            n = np.bincount(place).astype(np.uint32)
+            cut = np.searchsorted(shard, np.arange((1 << bits) + 1)).tolist()
             rows = []
-            for s in range(1 << bits):
-                a, b, c, d = cut[s], cut[s + 1], pair_cut[s], pair_cut[s + 1]
+            for s, (a, b) in enumerate(zip(cut, cut[1:])):
                 if b > a:
-                    runs = np.bincount(owner[c:d] - a, minlength=b - a).astype(np.uint32)
-                    rows.append((s, _zip(word[a:b]), _zip(runs), key[c:d].astype(np.uint32).tobytes(), _zip(n[c:d].astype(np.uint32))))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))],
-                                              ["shard", "word", "runs", "context", "n"])
+                    distinct, runs = _runs(word[a:b])
+                    rows.append((s, _zip(distinct), _zip(runs), context[a:b].tobytes(), _zip(n[a:b])))
+            return _batch(rows, PACKED)
 
         for batch in batches:
             for _, _, buf, offsets in _vec.slices(batch.column(1)):
@@ -115,41 +159,45 @@ def _pack(bits: int):
 
 
 def _merge(group: pd.DataFrame) -> pd.DataFrame:
-    """A shard's words and counts, and its pairs seen more than once."""
+    """A shard's words and counts, its pairs and theirs."""
     own = [(_unzip(w, _U), _unzip(r, np.uint32), np.frombuffer(c, np.uint32), _unzip(n, np.uint32))
            for w, r, c, n in zip(group["word"], group["runs"], group["context"], group["n"])]
     word = np.unique(np.concatenate([o[0] for o in own]))
     key = np.concatenate([np.repeat(np.searchsorted(word, w).astype(_U), r) << _U(32) | c.astype(_U) for w, r, c, _ in own])
     n = np.concatenate([o[3] for o in own]).astype(np.int64)
+    del own
     order = np.argsort(key, kind="stable")
     key, n = key[order], n[order]
     new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     key, n = key[new], np.add.reduceat(n, new)
     count = np.bincount((key >> _U(32)).astype(np.int64), n, len(word)).astype(np.int64)
-    kept = n > 1
     return pd.DataFrame([{"shard": group["shard"].iloc[0], "tokens": int(count.sum()), "words": len(word), "w1": int((count == 1).sum()),
                           "w2": int((count == 2).sum()), "p1": int((n == 1).sum()), "p2": int((n == 2).sum()), "word": word.tobytes(),
-                          "count": count.tobytes(), "at": (key[kept] >> _U(32)).astype(np.int32).tobytes(),
-                          "context": key[kept].astype(np.uint32).tobytes(), "pairs": n[kept].astype(np.int64).tobytes()}])
+                          "count": count.tobytes(), "at": (key >> _U(32)).astype(np.int32).tobytes(),
+                          "context": key.astype(np.uint32).tobytes(), "pairs": n.tobytes()}])
 
 
 def _discount(one: int, two: int) -> float:
     return one / (one + 2 * two) if one else 0.5
 
 
-def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(context hash, count) of every word."""
-    for batch in batches:
-        for word, count in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            yield pa.RecordBatch.from_arrays([pa.array((np.frombuffer(word, _U) >> _U(32)).astype(np.int64)), pa.array(np.frombuffer(count, np.int64))], ["v", "n"])
-
+def _context_rows(least: int):
+    """A shard's distinct contexts with its share of their counts, and its own words as contexts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, word, context, n in zip(*(batch.column(c).to_pylist() for c in ("shard", "word", "context", "pairs"))):
+                own = np.unique(np.frombuffer(word, _U) >> _U(32)).astype(np.int64)
+                v, at = np.unique(np.frombuffer(context, np.uint32), return_inverse=True)
+                v, n = v.astype(np.int64), np.frombuffer(n, np.int64)
+                kept = np.bincount(at, n >= least, len(v)).astype(np.int64)
+                gone = np.bincount(at, np.where(n < least, n, 0), len(v)).astype(np.int64)
+                total = np.bincount(at, n, len(v)).astype(np.int64)
+                more = np.setdiff1d(own, v, assume_unique=True)
+                none = np.zeros(len(more), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v) + len(more), shard, np.int32)), *(pa.array(np.concatenate(x)) for x in ((v, more), (total, none), (kept, none), (gone, none)))],
+                                                 ["shard", "v", "n", "kinds", "gone"])
 
-def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for shard, at, context, n in zip(*(batch.column(c).to_pylist() for c in ("shard", "at", "context", "pairs"))):
-            context = np.frombuffer(context, np.uint32).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(context), shard, np.int32)), pa.array(np.frombuffer(at, np.int32)), pa.array(context),
-                                              pa.array(np.frombuffer(n, np.int64))], ["shard", "at", "v", "n"])
+    return run
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,188 +210,239 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code, (total / np.maximum(n, 1)).astype(np.float32)
 
 
-def _build(discount: float, unigram: float, total: int):
-    def run(word: pd.DataFrame, pair: pd.DataFrame) -> pd.DataFrame:
-        if not len(word):
-            return pd.DataFrame({"shard": [], "size": [], "data": []})
-        row = word.iloc[0]
-        words, count = np.frombuffer(row["word"], _U), np.frombuffer(row["count"], np.int64)
-        backoff = np.zeros(len(words))
-        own = pair[pair["n"].isna()]
-        if len(own):  # this shard's words as contexts
-            v = own["v"].to_numpy()
-            at = np.searchsorted(v := np.sort(v), (words >> _U(32)).astype(np.int64))
-            hit = (at < len(v)) & (v[np.minimum(at, len(v) - 1)] == (words >> _U(32)).astype(np.int64))
-            value = own.sort_values("v")["b"].to_numpy()
-            backoff[hit] = value[at[hit]]
-        kept = pair[pair["n"].notna()].sort_values(["at", "v"])
-        at, b = kept["at"].to_numpy(np.int64), kept["b"].to_numpy()
-        lower = (count[at] - unigram) / total if len(at) else np.zeros(0)
-        p = (kept["n"].to_numpy(float) - discount) / kept["cv"].to_numpy(float) + 10.0**b * lower
-        code, book = quantise(np.log10(p) - b if len(p) else p)
-        back_code, back_book = quantise(backoff)
-        pointer = np.searchsorted(at, np.arange(len(words) + 1)).astype(np.uint32)
-        arrays = [words, count.astype(np.uint32 if count.max() < 2**32 else np.uint64), back_code, back_book, pointer, kept["v"].to_numpy().astype(np.uint32), code, book]
-        return pd.DataFrame([{"shard": int(row["shard"]), "size": sum(a.nbytes for a in arrays), "data": [_zip(a) for a in arrays]}])
+class Trie:
+    """One shard's levels, read in place from a buffer or a mapped file."""
+
+    def __init__(self, buffer):
+        n, pairs = struct.unpack_from("<QQ", buffer)
+        at = 16
+        self.words = elias_fano.Sequence(buffer, at)
+        self.sums = elias_fano.Sequence(buffer, self.words.end)
+        self.pointers = elias_fano.Sequence(buffer, self.sums.end)
+        self.contexts = elias_fano.Sequence(buffer, self.pointers.end)
+        at = self.contexts.end
+        self.back_book, self.book = np.frombuffer(buffer, np.float32, 256, at), np.frombuffer(buffer, np.float32, 256, at + 1024)
+        self.back_code, self.code = np.frombuffer(buffer, np.uint8, n, at + 2048), np.frombuffer(buffer, np.uint8, pairs, at + 2048 + n)
+
+    @staticmethod
+    def encode(words: np.ndarray, count: np.ndarray, at: np.ndarray, context: np.ndarray, backoff: np.ndarray, value: np.ndarray) -> bytes:
+        """words sorted; (at, context) sorted pairs, at being the word's rank."""
+        pointers = np.searchsorted(at, np.arange(len(words) + 1))
+        levels = (words, np.concatenate([[0], np.cumsum(count)]), pointers, at.astype(_U) << _U(32) | context.astype(_U))
+        (back_code, back_book), (code, book) = quantise(backoff), quantise(value)
+        return b"".join([struct.pack("<QQ", len(words), len(at)), *map(elias_fano.encode, levels), back_book.tobytes(), book.tobytes(), back_code.tobytes(), code.tobytes()])
+
+    def find(self, word: np.ndarray) -> np.ndarray:
+        """Rank of each word, -1 if it is not there."""
+        return self.words.successor(word)
+
+    def count(self, rank: np.ndarray) -> np.ndarray:
+        return (self.sums.access(rank + 1) - self.sums.access(rank)).astype(np.int64)
+
+    def backoff(self, rank: np.ndarray) -> np.ndarray:
+        return self.back_book[self.back_code[rank]].astype(float)
+
+    def pair(self, rank: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """Place of each context within its word's own segment, -1 if it is not there."""
+        a, b = self.pointers.access(rank).astype(np.int64), self.pointers.access(rank + 1).astype(np.int64)
+        return self.contexts.successor(rank.astype(_U) << _U(32) | context.astype(_U), a, b)
+
+    def value(self, place: np.ndarray) -> np.ndarray:
+        return self.book[self.code[place]].astype(float)
+
+
+def _totals(words: np.ndarray, count: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Counts over all shards."""
+    if not len(hot[0]) or not len(words):
+        return count
+    at = np.minimum(np.searchsorted(hot[0], words), len(hot[0]) - 1)
+    return np.where(hot[0][at] == words, hot[1][at], count)
+
+
+def _build(stats: dict, hot: tuple[np.ndarray, np.ndarray], least: int):
+    def run(merged: pd.DataFrame, contexts: pd.DataFrame) -> pd.DataFrame:
+        if not len(merged):
+            return pd.DataFrame({"shard": [], "data": []})
+        row = merged.iloc[0]
+        words = np.frombuffer(row["word"], _U)
+        count = _totals(words, np.frombuffer(row["count"], np.int64), hot)
+        contexts = contexts.sort_values("v")
+        v, cv, b = contexts["v"].to_numpy(np.int64), contexts["cv"].to_numpy(float), contexts["b"].to_numpy(float)
+        at, context, n = np.frombuffer(row["at"], np.int32).astype(np.int64), np.frombuffer(row["context"], np.uint32), np.frombuffer(row["pairs"], np.int64)
+        kept = np.flatnonzero(n >= least)
+        at, context, n = at[kept], context[kept], n[kept]
+        c = np.searchsorted(v, context.astype(np.int64))
+        p = (n - stats["discount"]) / cv[c] + 10.0 ** b[c] * (count[at] - stats["unigram"]) / max(1, stats["tokens"])
+        backoff = b[np.searchsorted(v, (words >> _U(32)).astype(np.int64))]
+        return pd.DataFrame([{"shard": int(row["shard"]), "data": Trie.encode(words, count, at, context, backoff, np.log10(p) - b[c])}])
 
     return run
 
 
-def train(rows: DataFrame) -> tuple[DataFrame, dict]:
-    """Shards of the trie (shard, size, data), and the constants, from rows (doc_id, text)."""
-    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    bits = max(3, (size // SHARD_BYTES).bit_length())
-    packed = rows.mapInArrow(_pack(bits), "shard int, word binary, runs binary, context binary, n binary")
-    shards = written(packed.groupBy("shard").applyInPandas(_merge, REDUCED))
+def train(rows: DataFrame, bits: int, hot: np.ndarray, least_pairs: int = 1) -> tuple[DataFrame, dict]:
+    """Shards of the trie (shard, data), and the constants, from rows (doc_id, text)."""
+    packed = rows.mapInArrow(_pack(bits, hot), PACKED)
+    shards = written(packed.groupBy("shard").applyInPandas(_merge, MERGED))
     stats = shards.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "words", "w1", "w2", "p1", "p2")]).first().asDict()
-    discount, unigram = _discount(stats["p1"], stats["p2"]), _discount(stats["w1"], stats["w2"])
-    pairs = shards.select("shard", "at", "context", "pairs").mapInArrow(_pair_rows, "shard int, at int, v long, n long")
-    held = pairs.groupBy("v").agg(F.sum(F.col("n") - discount).alias("mass"))
-    seen = shards.select("word", "count").mapInArrow(_word_rows, "v long, n long").groupBy("v").agg(F.sum("n").alias("cv"))
-    # what is not held by kept pairs backs off; a pair of hashes that collide can't make it vanish
-    left = F.greatest(F.lit(1e-6), 1 - F.col("mass") / F.col("cv"))
-    context = bounded(written(held.join(seen, "v").select("v", "cv", F.log10(left).alias("b"))))
-    own = context.select(F.shiftright("v", 32 - bits).cast("int").alias("shard"), F.lit(None).cast("int").alias("at"), "v", F.lit(None).cast("long").alias("n"), "cv", "b")
-    every = pairs.join(context, "v").select("shard", "at", "v", "n", "cv", "b").unionByName(own)
-    trie = (shards.select("shard", "word", "count").groupBy("shard")
-            .cogroup(every.groupBy("shard")).applyInPandas(_build(discount, unigram, max(1, stats["tokens"])), "shard int, size long, data array<binary>"))
-    unknown = unigram * stats["words"] / stats["tokens"] if stats["tokens"] else 1.0
-    return written(trie), stats | {"bits": bits, "unigram": unigram, "unknown": unknown}
+    totals = (hot, np.zeros(len(hot), np.int64))
+    if len(hot):  # their contexts lie in all shards: their counts are summed, and they are one word each
+        mine = shards.select("word", "count").mapInArrow(_hot_rows(hot), "k int, n long").groupBy("k").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("shards"), F.sum((F.col("n") == 1).cast("long")).alias("w1"), F.sum((F.col("n") == 2).cast("long")).alias("w2"))
+        for r in mine.collect():  # HOT_SHARE rows at most
+            totals[1][r["k"]] = r["n"]
+            stats["words"] -= r["shards"] - 1
+            stats["w1"] -= r["w1"] - (r["n"] == 1)
+            stats["w2"] -= r["w2"] - (r["n"] == 2)
+    stats |= {"bits": bits, "discount": _discount(stats["p1"], stats["p2"]), "unigram": _discount(stats["w1"], stats["w2"])}
+    stats["unknown"] = stats["unigram"] * stats["words"] / stats["tokens"] if stats["tokens"] else 1.0
+    here = written(shards.select("shard", "word", "context", "pairs").mapInArrow(_context_rows(least_pairs), "shard int, v long, n long, kinds long, gone long"))
+    sums = here.groupBy("v").agg(F.sum("n").alias("cv"), F.sum("kinds").alias("kinds"), F.sum("gone").alias("gone"), F.count(F.lit(1)).alias("n"))
+    # what kept pairs do not hold backs off; a word that is never a context leaves all to the unigram
+    left = F.when(F.col("cv") == 0, 1.0).otherwise(F.greatest(F.lit(1e-6), (F.col("kinds") * stats["discount"] + F.col("gone")) / F.col("cv")))
+    context = written(sums.select("v", "cv", F.log10(left).alias("b"), "n"))
+    some, every = hot_salted(here.select("shard", "v"), context, "v", "n", "shard")
+    known = some.join(every, ["v", "_lk_salt"]).select("shard", "v", "cv", "b")
+    stats["hot"] = (*totals, np.zeros(len(hot)))
+    if len(hot):  # known in every shard, also where none of their pairs lies
+        weights = {r["v"]: r["b"] for r in context.where(F.col("v").isin((hot >> _U(32)).tolist())).select("v", "b").collect()}
+        stats["hot"][2][:] = [weights.get(v, 0.0) for v in (hot >> _U(32)).tolist()]
+    trie = (shards.select("shard", "word", "count", "at", "context", "pairs").groupBy("shard")
+            .cogroup(known.groupBy("shard")).applyInPandas(_build(stats, totals, least_pairs), "shard int, data binary"))
+    return written(trie), stats
+
+
+def _hot_rows(hot: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for word, count in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                _, k, at = np.intersect1d(hot, np.frombuffer(word, _U), assume_unique=True, return_indices=True)
+                yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(np.frombuffer(count, np.int64)[at])], ["k", "n"])
 
+    return run
+
+
+_DOCS = np.dtype([("id", "<i8"), ("none", "?"), ("held", "?"), ("n", "<i8")])
 
-class Trie:
-    """A block of consecutive shards."""
-
-    def __init__(self, shards: list[tuple[int, list[bytes]]]):
-        kinds = (_U, None, np.uint8, np.float32, np.uint32, np.uint32, np.uint8, np.float32)
-        parts = {k: [] for k in ("word", "count", "back", "pointer", "context", "value")}
-        at = 0
-        for _, data in sorted(shards, key=lambda s: s[0]):
-            raw = [_unzip(d, k) if k else d for d, k in zip(data, kinds)]
-            plain = _unzip(raw[1], np.uint8)
-            parts["word"].append(raw[0])
-            parts["count"].append(plain.view(np.uint32 if len(plain) == 4 * len(raw[0]) else _U))  # 64 bits if any shard needs them
-            parts["back"].append(raw[3][raw[2]].astype(np.float16))
-            parts["pointer"].append(raw[4][:-1] + at)
-            parts["context"].append(raw[5])
-            parts["value"].append(raw[7][raw[6]].astype(np.float16) if len(raw[6]) else np.zeros(0, np.float16))
-            at += len(raw[5])
-        join = lambda k, t: np.concatenate(x) if (x := parts.pop(k)) else np.zeros(0, t)  # noqa: E731  lets the parts go
-        word = join("word", _U)
-        self.count, self.back = join("count", np.uint32), join("back", np.float16)
-        self.pointer = np.append(join("pointer", np.int64), at).astype(np.int64)
-        self.context, self.value = join("context", np.uint32), join("value", np.float16)
-        # about one word a bucket of high bits; the low 32 bits are searched within it
-        self.high = min(32, max(1, int(len(word)).bit_length()))
-        self.low = (word >> _U(32 - self.high)).astype(np.uint32)
-        self.directory = np.zeros((1 << self.high) + 1, np.uint32)
-        np.cumsum(np.bincount((word >> _U(64 - self.high)).astype(np.int64), minlength=1 << self.high), out=self.directory[1:])
-
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Rank of each word, -1 if it is not there."""
-        bucket = (h >> _U(64 - self.high)).astype(np.int64)
-        low = (h >> _U(32 - self.high)).astype(np.uint32)
-        at, end = self.directory[bucket].astype(np.int64), self.directory[bucket + 1].astype(np.int64)
-        out = np.full(len(h), -1, np.int64)
-        live = np.flatnonzero(at < end)
-        while len(live):
-            here = self.low[at[live]]
-            out[live[here == low[live]]] = at[live[here == low[live]]]
-            live = live[here < low[live]]
-            at[live] += 1
-            live = live[at[live] < end[live]]
-        return out
-
-    def successor(self, word: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """Position of each context within its word's own segment, -1 if it is not there."""
-        a, end = self.pointer[word].copy(), self.pointer[word + 1]
-        b = end.copy()
-        while True:
-            open_ = a < b
-            if not open_.any():
-                break
-            middle = (a + b) >> 1
-            less = np.zeros(len(a), bool)
-            less[open_] = self.context[middle[open_]] < context[open_]
-            a = np.where(open_ & less, middle + 1, a)
-            b = np.where(open_ & ~less, middle, b)
-        hit = a < end
-        hit[hit] = self.context[a[hit]] == context[hit]
-        return np.where(hit, a, -1)
-
-
-def _score(shared, stats: dict, low: int, high: int):
-    """Partial sums over the words whose shard is in [low, high)."""
-    bits, total = stats["bits"], stats["tokens"]
-    floor = np.log10(1 / (total + stats["words"] + 1))
-    unknown = np.log10(stats["unknown"])
 
+def _ask(bits: int, hot: np.ndarray):
+    """The queries of all texts, a block a shard: pairs, and in which rows and how often each is used."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie(shared.value)
+        part, block, held, docs, total, seen = TaskContext.get().partitionId(), 0, [], [], 0, 0
+
+        def flush():
+            words, contexts, row = (np.concatenate(x) for x in zip(*held))
+            shard, word, context, place = _lots(words, contexts, bits, hot)
+            use, n = np.unique(place.astype(_U) << _U(32) | row.astype(_U), return_counts=True)
+            place = (use >> _U(32)).astype(np.int64)
+            row, uses = use.astype(np.uint32), np.bincount(place, minlength=len(word))
+            cut = np.searchsorted(shard, np.arange((1 << bits) + 1)).tolist()
+            use_cut = np.searchsorted(place, cut).tolist()
+            rows, table = [], np.concatenate(docs).tobytes()
+            for s, (a, b, c, d) in enumerate(zip(cut, cut[1:], use_cut, use_cut[1:])):
+                if b > a:
+                    distinct, runs = _runs(word[a:b])
+                    rows.append((s, part, block, _zip(distinct), _zip(runs), context[a:b].tobytes(), _zip(uses[a:b].astype(np.uint32)), _zip(row[c:d]), _zip(n[c:d].astype(np.uint32)), table))
+                    table = None  # goes with one of them
+            return _batch(rows, QUERIES)
+
         for batch in batches:
+            ids, held_out = batch.column("doc_id"), np.array(batch.column("held_out"))
             for i, j, buf, offsets in _vec.slices(batch.column("text")):
                 h, first = tokens(buf, offsets)
-                distinct, inverse = np.unique(h, return_inverse=True)
-                shard = (distinct >> _U(64 - bits)).astype(np.int64)
-                ours = (shard >= low) & (shard < high)
-                rank = np.where(ours, trie.find(distinct), -1)
-                known = rank >= 0
-                at = np.maximum(rank, 0)
-                c = np.where(known, trie.count[at] if len(trie.count) else 0, 0).astype(float)
-                base = np.where(ours, floor + np.log10(c + 1), 0.0)
-                alone = np.where(known, np.log10(np.maximum(c - stats["unigram"], 1e-9) / max(total, 1)), unknown)
-                alone = np.where(ours, alone, 0.0)
-                back = np.where(known, trie.back[at] if len(trie.back) else 0, 0).astype(float)
-                before = np.empty(len(inverse), np.int64)  # the context's place among the distinct tokens
-                end = int(np.searchsorted(distinct, END))
-                before[0], before[1:] = end, inverse[:-1]
-                score = alone[inverse]
-                mine = np.flatnonzero(known[inverse])
-                found = trie.successor(rank[inverse[mine]], (distinct[before[mine]] >> _U(32)).astype(np.uint32))
-                score[mine[found >= 0]] = trie.value[found[found >= 0]]
-                score += back[before]
-                add = lambda x: np.add.reduceat(x, first)
-                n = np.diff(np.append(first, len(h)))
-                part = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("held_out"), part.column("key"), pa.array(n), pa.array(add(known[inverse].astype(np.int64))),
-                     pa.array(add(base[inverse])), pa.array(add(score))], ["doc_id", "held_out", "key", "n_tokens", "n_known", "base_score", "score"])
+                size = np.diff(np.append(first, len(h)))
+                held.append((h, _contexts(h), np.repeat(np.arange(seen, seen + j - i), size)))
+                table = np.zeros(j - i, _DOCS)
+                table["id"], table["none"] = np.array(ids[i:j].fill_null(0)), np.array(ids[i:j].is_null())
+                table["held"], table["n"] = held_out[i:j], size
+                docs.append(table)
+                total, seen = total + len(h), seen + j - i
+                if total >= FLUSH:
+                    yield flush()
+                    held, docs, total, seen, block = [], [], 0, 0, block + 1
+        if held:
+            yield flush()
 
     return run
 
 
-def score_texts(df: DataFrame, held_out: tuple[int, int] = HELD_OUT, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; rows held out teach nothing."""
-    spark = df.sparkSession
+def _answer(stats: dict):
+    """A shard's part of the sums of all rows that asked it."""
+    total = stats["tokens"]
+    floor = np.log10(1 / (total + stats["words"] + 1))
+    unknown = np.log10(stats["unknown"])
+
+    def lot(asked: pd.DataFrame, trie: Trie | None) -> list[tuple]:
+        parts = [(_unzip(w, _U), _unzip(r, np.uint32), np.frombuffer(c, np.uint32), _unzip(u, np.uint32), _unzip(x, np.uint32), _unzip(n, np.uint32))
+                 for w, r, c, u, x, n in zip(*(asked[k] for k in ("word", "runs", "context", "uses", "row", "n")))]
+        words, runs, context, uses, row, n = (np.concatenate(x) for x in zip(*parts))
+        rank = trie.find(words) if trie else np.full(len(words), -1)
+        there = np.flatnonzero(rank >= 0)
+        c, back = np.zeros(len(words)), np.zeros(len(words))
+        if len(there):
+            c[there], back[there] = trie.count(rank[there]), trie.backoff(rank[there])
+        hot, totals, weights = stats["hot"]
+        if len(hot):
+            at = np.minimum(np.searchsorted(hot, words), len(hot) - 1)
+            common = np.flatnonzero(hot[at] == words)
+            c[common], back[common] = totals[at[common]], weights[at[common]]
+        alone = np.where(c > 0, np.log10(np.maximum(c - stats["unigram"], 1e-9) / max(1, total)), unknown)
+        term = np.repeat(alone, runs)
+        rank = np.repeat(rank, runs)
+        there = np.flatnonzero(rank >= 0)
+        if len(there):
+            place = trie.pair(rank[there], context[there])
+            hit = np.flatnonzero(place >= 0)
+            term[there[hit]] = trie.value(place[hit])
+        term += np.repeat(back, runs)
+        base = np.repeat(floor + np.log10(c + 1), runs)
+        base, term, known = (np.repeat(x, uses) * n for x in (base, term, np.repeat(c > 0, runs)))
+        who = np.repeat(np.arange(len(parts), dtype=_U), [len(p[4]) for p in parts]) << _U(32) | row.astype(_U)
+        who, at = np.unique(who, return_inverse=True)
+        base, term, known = (np.bincount(at, x, len(who)) for x in (base, term, known))
+        cut = np.searchsorted(who, np.arange(len(parts) + 1, dtype=_U) << _U(32)).tolist()
+        row = who.astype(np.uint32)
+        return [(int(asked["shard"].iloc[0]), part, block, _zip(row[a:b]), _zip(known[a:b].astype(np.uint32)), base[a:b].tobytes(), term[a:b].astype(np.float32).tobytes(), docs)
+                for part, block, docs, a, b in zip(asked["part"], asked["block"], asked["docs"], cut, cut[1:])]
+
+    def run(asked: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+        trie = Trie(model["data"].iloc[0]) if len(model) else None
+        out, size = [], np.cumsum([len(c) // 4 for c in asked["context"]]) // FLUSH
+        for k in np.unique(size):
+            out += lot(asked[size == k], trie)
+        return pd.DataFrame(out, columns=[f.split()[0] for f in ANSWERS.split(", ")])
+
+    return run
+
+
+def _sum(train_tokens: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        docs = np.frombuffer(next(d for d in group["docs"] if d is not None), _DOCS)
+        known, base, score = np.zeros(len(docs), np.int64), np.zeros(len(docs)), np.zeros(len(docs))
+        group = group.sort_values("shard")  # sums in one order, whatever the shuffle's
+        for r, k, b, s in zip(group["row"], group["known"], group["base"], group["score"]):
+            r = _unzip(r, np.uint32)
+            known[r] += _unzip(k, np.uint32)
+            base[r] += np.frombuffer(b, float)
+            score[r] += np.frombuffer(s, np.float32)
+        ids = pd.Series(docs["id"], dtype="Int64").mask(docs["none"])
+        return pd.DataFrame({"doc_id": ids, "held_out": docs["held"], "n_tokens": docs["n"], "n_known": known, "train_tokens": train_tokens, "base_score": base, "score": score})
+
+    return run
+
+
+def score_texts(df: DataFrame, held_out: tuple[int, int] = HELD_OUT, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES,
+                least_pairs: int = 1, hot_least: int = HOT_LEAST) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; rows held out teach nothing.
+
+    Pairs seen less than `least_pairs` times are left to the back-off.
+    """
     mod, rest = held_out
     rows = id_text(df, id_col, text_col)
     rows = rows.withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % mod == rest)
-    trie, stats = train(rows.where("not held_out").select("doc_id", "text"))
-    blocks, size = [[]], 0  # of consecutive shards; one row a shard
-    for row in trie.select("shard", "size").orderBy("shard").collect():
-        if blocks[-1] and size + row["size"] > block_bytes:
-            blocks.append([])
-            size = 0
-        blocks[-1].append(row["shard"])
-        size += row["size"]
-    bounds = [0] + [b[0] for b in blocks[1:]] + [1 << stats["bits"]]
-    lean = rows.select("doc_id", "text", "held_out", F.xxhash64("doc_id", "text").alias("key"))
-    parts = []
-    for low, high in zip(bounds, bounds[1:]):
-        data = [(r["shard"], [bytes(d) for d in r["data"]]) for r in trie.where(F.col("shard").between(low, high - 1)).toLocalIterator()]
-        shared = spark.sparkContext.broadcast(data)
-        part = lean.mapInArrow(_score(shared, stats, low, high), "doc_id long, held_out boolean, key long, n_tokens long, n_known long, base_score double, score double")
-        if len(bounds) > 2:  # one block is held at a time, by the driver and by the executors
-            part = written(part)
-            shared.destroy()
-        parts.append(part)
-    total = parts[0]
-    if len(parts) > 1:
-        for p in parts[1:]:
-            total = total.unionByName(p)
-        copies = F.count(F.lit(1)) / len(parts)  # rows equal in id and text
-        total = total.groupBy("doc_id", "held_out", "key").agg(
-            F.first("n_tokens").alias("n_tokens"), (F.sum("n_known") / copies).cast("long").alias("n_known"),
-            (F.sum("base_score") / copies).alias("base_score"), (F.sum("score") / copies).alias("score"), copies.cast("int").alias("copies"))
-        total = total.withColumn("copies", F.explode(F.sequence(F.lit(1), "copies")))
-    return total.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(stats["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    bits = max(3, (size // shard_bytes).bit_length())
+    common = rows.select("doc_id", "text").mapInArrow(_common_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= hot_least)
+    hot = np.sort(np.array([r["word"] for r in common.orderBy(F.desc("n"), "word").limit(HOT_SHARE).collect()], np.int64).view(_U))
+    trie, stats = train(rows.where("not held_out").select("doc_id", "text"), bits, hot, least_pairs)
+    asked = rows.mapInArrow(_ask(bits, hot), QUERIES)
+    answers = asked.groupBy("shard").cogroup(trie.groupBy("shard")).applyInPandas(_answer(stats), ANSWERS)
+    return answers.groupBy("part", "block").applyInPandas(_sum(stats["tokens"]), OUT)

@@ -12,7 +12,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from larkspar.llm import bpe, exact_dedup, fingerprint, lm, ngram_jaccard, packing, pii, substring, toxicity, wavelet
+from larkspar.llm import bpe, elias_fano, exact_dedup, fingerprint, lm, ngram_jaccard, packing, pii, substring, toxicity, wavelet
 
 SCHEMA = "doc_id long, text string, lang string, kept boolean, _lk_maybe int"
 
@@ -190,35 +190,60 @@ def test_language_model(spark, docs, plain, rows):
         own = tokens(t)
         assert (got[i].held_out, got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (held(i), len(own), sum(w in count for w in own), n)
         assert math.isclose(got[i].base_score, sum(math.log10((count[w] + 1) / (n + v + 1)) for w in own), rel_tol=1e-9)
-    blocks = by_id(lm.score_texts(docs, block_bytes=500))
-    assert all(math.isclose(blocks[i].score, got[i].score, rel_tol=1e-6) for i in plain)
+    shards = by_id(lm.score_texts(docs, shard_bytes=500))
+    hot = by_id(lm.score_texts(docs, shard_bytes=500, hot_least=20))
+    for other in (shards, hot):
+        assert all(other[i].base_score == pytest.approx(got[i].base_score, rel=1e-9) and other[i].n_known == got[i].n_known for i in plain)
+        far = {i: (other[i].score, got[i].score) for i in plain if not math.isclose(other[i].score, got[i].score, rel_tol=0.05, abs_tol=0.3)}
+        assert not far  # codebooks are a shard's
     assert lm.score_texts(empty(spark)).count() == 0
 
 
-def test_language_model_is_a_distribution(spark):
-    """Over the known words and the unknown one, probabilities after any context sum to one."""
-    rnd = random.Random(3)
-    train = [(i, " ".join(rnd.choice("abcd") for _ in range(50))) for i in range(40)]
-    df = spark.createDataFrame(train, "doc_id long, text string")
-    trie, stats = lm.train(df)
-    block = lm.Trie([(r["shard"], [bytes(d) for d in r["data"]]) for r in trie.collect()])
-    buf = np.frombuffer(b"a b c d", np.uint8)
-    h, _ = lm.tokens(buf, np.array([0, len(buf)]))
-    rank = block.find(h)
-    for context in range(len(h)):
-        total = stats["unknown"] * 10.0 ** float(block.back[rank[context]])
-        for word in range(len(h)):
-            at = block.successor(rank[word : word + 1], (h[context : context + 1] >> np.uint64(32)).astype(np.uint32))[0]
-            alone = (float(block.count[rank[word]]) - stats["unigram"]) / stats["tokens"]
-            total += 10.0 ** (float(block.back[rank[context]]) + (float(block.value[at]) if at >= 0 else math.log10(alone)))
-        assert abs(total - 1) < 0.03
-
-
-def test_counts_beyond_32_bits():
-    none = [np.zeros(1, np.uint8), np.zeros(256, np.float32), np.zeros(2, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.uint8), np.zeros(256, np.float32)]
-    shard = lambda word, n: [lm._zip(x) for x in (np.array([word], np.uint64), n, *none)]
-    trie = lm.Trie([(0, shard(5, np.array([7], np.uint32))), (1, shard(1 << 63, np.array([2**32 + 3], np.uint64)))])
-    assert trie.count.tolist() == [7, 2**32 + 3]
+def test_scores_by_brute_force(spark):
+    """The interpolated model, computed from plain counts; codes cost a little precision."""
+    rnd = random.Random(13)
+    vocabulary = [f"w{k}" for k in range(40)]
+    rows = [(i, " ".join(rnd.choice(vocabulary[: rnd.choice([3, 12, 40])]) for _ in range(rnd.randint(0, 60)))) for i in range(120)] + [(500, "unseen words w1 w2"), (501, None)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    own = {i: [*words(t), "\0"] for i, t in rows}
+    pairs = collections.Counter(p for i, t in own.items() if not held(i) for p in zip(["\0", *t], t))
+    count = collections.Counter(w for i, t in own.items() if not held(i) for w in t)
+    after = collections.Counter(v for v, _ in pairs.elements())
+    kinds = collections.Counter(v for v, _ in pairs)
+    n = sum(count.values())
+    d, u = (lm._discount(*(sum(c == k for c in x.values()) for k in (1, 2))) for x in (pairs, count))
+
+    def p(v, w):
+        alone = (count[w] - u) / n if w in count else u * len(count) / n
+        return alone if v not in after else max(pairs[v, w] - d, 0) / after[v] + d * kinds[v] / after[v] * alone
+
+    assert all(math.isclose(sum(p(v, w) for w in [*count, "?"]), 1, rel_tol=1e-9) for v in [*count, "\0"])
+    for hot in (lm.HOT_LEAST, 50):
+        got = by_id(lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), hot_least=hot))
+        for i, t in own.items():
+            assert math.isclose(got[i].score, sum(math.log10(p(v, w)) for v, w in zip(["\0", *t], t)), rel_tol=0.02, abs_tol=0.05), i
+
+
+def test_elias_fano():
+    rnd = np.random.default_rng(1)
+    for n, top in ((0, 1), (1, 2**63), (3, 10), (1000, 2**64 - 1), (100_000, 2**40), (500, 5), (70_000, 70_000)):
+        v = np.sort(rnd.integers(0, top, n, dtype=np.uint64, endpoint=True))
+        s = elias_fano.Sequence(elias_fano.encode(v))
+        assert (s.access(np.arange(n)).astype(np.uint64) == v).all() and s.n == n
+        q = np.concatenate([v[:500], rnd.integers(0, top, 500, dtype=np.uint64, endpoint=True)])
+        at = s.successor(q)
+        assert ((at >= 0) == np.isin(q, v)).all() and (v[at[at >= 0]] == q[at >= 0]).all()
+
+
+def test_counts_beyond_32_bits(tmp_path):
+    """Also read from a mapped file."""
+    words = np.array([5, 1 << 63], np.uint64)
+    data = lm.Trie.encode(words, np.array([7, 2**32 + 3]), np.array([1]), np.array([9], np.uint32), np.zeros(2), np.array([-1.5]))
+    (tmp_path / "shard").write_bytes(data)
+    trie = lm.Trie(np.memmap(tmp_path / "shard", np.uint8, "r"))
+    rank = trie.find(words)
+    assert trie.count(rank).tolist() == [7, 2**32 + 3] and trie.value(trie.pair(rank, np.array([9, 9], np.uint32))[1:]).tolist() == [-1.5]
+    assert trie.pair(rank, np.array([9, 8], np.uint32)).tolist() == [-1, -1]
 
 
 def test_substring(spark, docs, plain, rows):
