@@ -9,11 +9,9 @@ RUNS independent runs bring the recall of a pair at the threshold over TARGET_RE
 to DEPTH; sets whose paths went deeper get more runs, until the depth they reached gives that recall too.
 
 What keeps a group of any size linear: a first look at CONTRACTING runs joins the sets of one bucket that agree
-enough (each with the bucket's pivot where it is large) and names each set by its component's root. Buckets
-that hold one root are dropped from then on. In a large bucket of several roots every set is measured against
-the pivot. Unequal tokens are a metric: with FAR the greatest distance of a proposed pair, and e the least
-distance from the pivot of a set not joined to it, sets nearer to the pivot than e - FAR can be near none of those
-and leave. Only the rest is split on.
+enough (each with the bucket's pivot where it is large) and names each set by its component's root. From then on
+buckets that hold one root are dropped, and a large bucket whose sets, but for STRAYS at most, share a root is settled
+at once: the strays are compared with every set of the bucket, in blocks. Only large buckets of many roots are split.
 
 Buckets only propose: joined sets are loose components (a task emits a spanning forest of roots, never pairs).
 Within a loose component every pair is then compared exactly, on whole shingle sets, block against block, blocks
@@ -37,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _vec
-from ._common import bounded, components, fresh, hot_salted, id_text, keyed_join, quoted, text_key, with_first, written
+from ._common import BROADCAST_ROWS, bounded, components, fresh, hot_salted, id_text, keyed_join, quoted, text_key, with_first, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -47,7 +45,9 @@ DEPTH = 4
 TARGET_RECALL = 0.995
 LOOSE = 0.64  # three standard deviations of 64 tokens below the threshold
 FAR = SIZE - math.ceil(LOOSE * SIZE)  # unequal tokens of a proposed pair, at most
-CONTRACTING = 2
+CONTRACTING = 4
+STRAYS = 512
+SETTLING = 1_024  # sets of a large bucket that strays are compared with in one task
 BLOCK_BYTES = 4 << 20  # of shingle sets
 BLOCK = 4_096  # sets
 TILE = 512
@@ -100,7 +100,8 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens = np.empty((len(has), SIZE), np.uint32)
             for k in range(SIZE):
                 tokens[:, k] = np.minimum.reduceat((found * _A[k] + _B[k]) >> _U(32), at).astype(np.uint32)
-            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j].take(pa.array(has)), pa.array([t.tobytes() for t in tokens], pa.binary())], ["id", "tokens"])
+            blobs = [[t.tobytes() for t in x] for x in (tokens, tokens.astype(np.uint8))]
+            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j].take(pa.array(has)), *(pa.array(x, pa.binary()) for x in blobs)], ["id", "tokens", "brief"])
 
 
 def _step(paths: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -115,8 +116,8 @@ def _step(paths: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple[np.
     return np.concatenate(rows), np.concatenate(out)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, SIZE)
+def _matrix(column: pa.Array, kind=np.uint32) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, SIZE)
 
 
 def _first_step(runs: list[int], similarity: float):
@@ -192,7 +193,7 @@ def _proposals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Brute force in buckets sorted by path: a forest of the roots whose sets agree enough."""
     for table in _grouped(batches, "path"):
         path, root = np.array(table.column("path")), np.array(table.column("root"))
-        tokens = _matrix(table.column("tokens")).astype(np.uint8)
+        tokens = _matrix(table.column("brief"), np.uint8)
         pairs_a, pairs_b, d = [], [], 1
         same = np.flatnonzero(path[d:] == path[:-d])
         while len(same):
@@ -208,13 +209,31 @@ def _proposals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unequal tokens of each set and its bucket's pivot."""
+    """Edges between the roots of sets and of their bucket's pivot, where these agree enough."""
     for batch in batches:
         if not len(batch):
             continue
-        far = (_matrix(batch.column("tokens")) != _matrix(batch.column("pivot_tokens"))).sum(1)
-        yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("id"), batch.column("root"), batch.column("pivot_root"), pa.array(far.astype(np.int32))],
-                                         ["path", "id", "root", "pivot_root", "far"])
+        far = (_matrix(batch.column("brief"), np.uint8) != _matrix(batch.column("pivot"), np.uint8)).sum(1)
+        near = pa.array(far <= FAR)
+        yield pa.RecordBatch.from_arrays([batch.column("root").filter(near), batch.column("pivot_root").filter(near)], ["a", "b"])
+
+
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A forest of the roots whose sets agree enough, strays against all sets of their block."""
+    for table in _grouped(batches, "key"):
+        key, root, stray = (np.array(table.column(c)) for c in ("key", "root", "stray"))
+        tokens = _matrix(table.column("brief"), np.uint8)
+        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+        pairs = []
+        for low, high in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            for k in np.flatnonzero(stray[low:high]).tolist():
+                near = np.flatnonzero((tokens[low:high] == tokens[low + k]).sum(1) >= SIZE - FAR)
+                near = np.unique(root[low:high][near])
+                pairs.append((near, np.full(len(near), root[low + k])))
+        if pairs:
+            a, b = (np.concatenate(x) for x in zip(*pairs))
+            if (a != b).any():
+                yield _forest(a[a != b], b[a != b])
 
 
 def _blocked(rows: DataFrame, group: str, blocks: str) -> DataFrame:
@@ -309,9 +328,10 @@ def _exact(similarity: float):
     return run
 
 
+_SKETCH = "id long, tokens binary, brief binary"
 _FRONTIER = "path long, id long, root long"
-_TOKENS_BROADCAST = 100_000  # rows of 64 tokens: about 26 MB
-_PIVOTS_BROADCAST = 50_000  # likewise
+_TOKENS_BROADCAST = 400_000  # rows of an id and 64 bytes
+_PIVOTS_BROADCAST = 100_000
 
 
 def _bucketed(frontier: DataFrame) -> DataFrame:
@@ -321,37 +341,51 @@ def _bucketed(frontier: DataFrame) -> DataFrame:
     return written(left.join(right, ["path", "_lk_salt"]).drop("_lk_salt"))
 
 
-def _measured(big: DataFrame) -> DataFrame:
-    """path, id, root, pivot_root, far: the rows of large buckets, measured against one set of their bucket."""
-    pivots = written(big.groupBy("path").agg(F.min(F.struct(F.xxhash64("path", "id").alias("h"), "id", "root", "tokens")).alias("p"), F.first("n").alias("n"))
-                     .select("path", "n", F.col("p.root").alias("pivot_root"), F.col("p.tokens").alias("pivot_tokens")))
+def _to_pivots(big: DataFrame) -> DataFrame:
+    """Edges (a, b) from the sets of large buckets to one set of their bucket."""
+    pivots = written(big.groupBy("path").agg(F.min(F.struct(F.xxhash64("path", "id").alias("h"), "root", "brief")).alias("p"), F.first("n").alias("n"))
+                     .select("path", "n", F.col("p.root").alias("pivot_root"), F.col("p.brief").alias("pivot")))
     held = keyed_join(big.drop("n"), pivots, "path", "n", "id", _PIVOTS_BROADCAST)
-    return written(held.select("path", "id", "root", "tokens", "pivot_root", "pivot_tokens").mapInArrow(_distances, f"{_FRONTIER}, pivot_root long, far int"))
+    return held.where("root != pivot_root").select("root", "brief", "pivot_root", "pivot").mapInArrow(_distances, "a long, b long").distinct()
+
+
+def _dominated(big: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of large buckets that are to be settled, dealt to blocks (key, root, stray, brief), and of those to be split."""
+    counts = big.groupBy("path", "root").agg(F.count(F.lit(1)).alias("m"))
+    heads = written(counts.groupBy("path").agg(F.max(F.struct("m", "root")).alias("h"), F.sum("m").alias("n")).select("path", "n", F.col("h.root").alias("head"), (F.col("n") - F.col("h.m")).alias("strays")))
+    rows = keyed_join(big.drop("n"), heads.withColumn("blocks", F.ceil(F.col("n") / SETTLING).cast("int")), "path", "n", "id", BROADCAST_ROWS)
+    stray = F.col("root") != F.col("head")
+    settle = rows.where(F.col("strays") <= STRAYS).withColumn("stray", stray)
+    block = F.when(stray, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
+    settle = settle.withColumn("block", F.explode(block)).select(F.xxhash64("path", "block").alias("key"), "root", "stray", "brief")
+    return settle, rows.where(F.col("strays") > STRAYS).select("path", "id", "root")
 
 
 def _wave(sketches: DataFrame, runs: list[int], similarity: float, split: bool = True) -> tuple[DataFrame, DataFrame | None, int]:
     """Edges (a, b) between roots proposed by the buckets of these runs, ids whose paths went below DEPTH, and the depth reached."""
-    tokens = bounded(sketches.select("id", "tokens"), _TOKENS_BROADCAST)
+    brief = bounded(sketches.select("id", "brief"), _TOKENS_BROADCAST)
     frontier = written(sketches.mapInArrow(_first_step(runs, similarity), _FRONTIER))
     found, deep, depth = [], None, 1
     while True:
         rows = _bucketed(frontier)
-        small = rows.where(F.col("n") <= BUCKET).drop("n").join(tokens, "id")
-        found.append(written(small.select("path", "root", "tokens").repartition("path").sortWithinPartitions("path").mapInArrow(_proposals, "a long, b long")))
+        small = rows.where(F.col("n") <= BUCKET).drop("n").join(brief, "id")
+        found.append(written(small.select("path", "root", "brief").repartition("path").sortWithinPartitions("path").mapInArrow(_proposals, "a long, b long")))
         big = rows.where(F.col("n") > BUCKET)
         if not big.limit(1).count():
             break
-        far = _measured(big.join(tokens, "id"))
-        found.append(far.where((F.col("far") <= FAR) & (F.col("root") != F.col("pivot_root"))).select(F.col("root").alias("a"), F.col("pivot_root").alias("b")).distinct())
+        big = big.repartition("id", "path").join(brief, "id")
         if not split:
+            found.append(written(_to_pivots(big)))
+            break
+        settle, on = _dominated(big)
+        found.append(written(settle.repartition("key").sortWithinPartitions("key").mapInArrow(_settled, "a long, b long")))
+        on = written(on)
+        if not on.limit(1).count():
             break
-        outer = written(far.groupBy("path").agg(F.min(F.when((F.col("far") > FAR) & (F.col("root") != F.col("pivot_root")), F.col("far"))).alias("outer"), F.count(F.lit(1)).alias("n"))
-                        .where("outer is not null"))
-        on = keyed_join(far.select("path", "id", "root", "far"), outer, "path", "n", "id").where(F.col("far") >= F.col("outer") - FAR)
         if depth >= DEPTH:
             ids = written(on.select("id").distinct())
             deep = ids if deep is None else deep.unionByName(ids)
-        frontier = written(on.select("path", "id", "root").join(tokens, "id").mapInArrow(_next_step(similarity), _FRONTIER))
+        frontier = written(on.join(sketches.select("id", "tokens"), "id").mapInArrow(_next_step(similarity), _FRONTIER))
         depth += 1
     edges = found[0]
     for more in found[1:]:
@@ -411,7 +445,7 @@ def classes(df: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id
     """similar_groups plus root (equal in one class only) and the text key, per row."""
     rows, odd = keyed(id_text(df, id_col, text_col))
     own = rows.where(F.col("first").eqNullSafe(F.col("doc_id")))
-    sketches = written(own.select(F.col("key").alias("id"), "text").mapInArrow(_sketches, "id long, tokens binary").dropDuplicates(["id"]))
+    sketches = written(own.select(F.col("key").alias("id"), "text").mapInArrow(_sketches, _SKETCH).dropDuplicates(["id"]))
     loose = loose_components(sketches, similarity)
     members = written(loose.unionByName(loose.select(F.col("root").alias("id"), "root").distinct()))
     text = own.select(F.col("key").alias("id"), "text", "copies").join(bounded(members), "id").dropDuplicates(["id"])
