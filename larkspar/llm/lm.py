@@ -35,11 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _vec, elias_fano
-from ._common import hot_salted, id_text, written
+from ._common import id_text, written
 
 SHARD_BYTES = 12 << 20  # of text
 FLUSH = 1_000_000
 HOT_SHARE = 1_000
+DEALING = 16
 HOT_LEAST = 200_000  # a word seen less often is not hot: its contexts are no load
 HELD_OUT = (7, 2)
 _U = np.uint64
@@ -181,21 +182,52 @@ def _discount(one: int, two: int) -> float:
     return one / (one + 2 * two) if one else 0.5
 
 
-def _context_rows(least: int):
-    """A shard's distinct contexts with its share of their counts, and its own words as contexts."""
+REQUEST = "lot int, shard int, v binary, n binary, kinds binary, gone binary"
+REPLY = "shard int, lot int, v binary, cv binary, b binary"
+
+
+def _requests(bits: int, least: int):
+    """A shard's distinct contexts, its own words among them, with its part of their counts: a block a range of contexts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, word, context, n in zip(*(batch.column(c).to_pylist() for c in ("shard", "word", "context", "pairs"))):
-                own = np.unique(np.frombuffer(word, _U) >> _U(32)).astype(np.int64)
-                v, at = np.unique(np.frombuffer(context, np.uint32), return_inverse=True)
-                v, n = v.astype(np.int64), np.frombuffer(n, np.int64)
-                kept = np.bincount(at, n >= least, len(v)).astype(np.int64)
-                gone = np.bincount(at, np.where(n < least, n, 0), len(v)).astype(np.int64)
-                total = np.bincount(at, n, len(v)).astype(np.int64)
-                more = np.setdiff1d(own, v, assume_unique=True)
-                none = np.zeros(len(more), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v) + len(more), shard, np.int32)), *(pa.array(np.concatenate(x)) for x in ((v, more), (total, none), (kept, none), (gone, none)))],
-                                                 ["shard", "v", "n", "kinds", "gone"])
+                n = np.frombuffer(n, np.int64)
+                own = (np.frombuffer(word, _U) >> _U(32)).astype(np.uint32)
+                v, at = np.unique(np.concatenate([np.frombuffer(context, np.uint32), own]), return_inverse=True)
+                sums = [np.bincount(at[: len(n)], x, len(v)).astype(np.int64) for x in (n, n >= least, np.where(n < least, n, 0))]
+                cut = np.searchsorted(v, np.arange((1 << bits) + 1, dtype=_U) << _U(32 - bits)).tolist()
+                yield _batch([(lot, shard, _zip(v[a:b]), *(_zip(x[a:b]) for x in sums)) for lot, (a, b) in enumerate(zip(cut, cut[1:])) if b > a], REQUEST)
+
+    return run
+
+
+def _replies(discount: float):
+    """The totals and back-off weights (log10) of a range of contexts, to each shard that asked."""
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        asked = [_unzip(x, np.uint32) for x in group["v"]]
+        v, at = np.unique(np.concatenate(asked), return_inverse=True)
+        cv, kinds, gone = (np.bincount(at, np.concatenate([_unzip(x, np.int64) for x in group[c]]), len(v)) for c in ("n", "kinds", "gone"))
+        # what kept pairs do not hold backs off; a word that is never a context leaves all to the unigram
+        b = np.log10(np.where(cv > 0, np.maximum(1e-6, (kinds * discount + gone) / np.maximum(cv, 1)), 1.0)).astype(np.float32)
+        cv, out, low = cv.astype(np.int64), [], 0
+        for shard, lot, x, own in zip(group["shard"], group["lot"], group["v"], asked):
+            here = at[low : low + len(own)]
+            out.append((shard, lot, x, _zip(cv[here]), _zip(b[here])))
+            low += len(own)
+        return pd.DataFrame(out, columns=[f.split()[0] for f in REPLY.split(", ")])
+
+    return run
+
+
+def _weights(hot: np.ndarray):
+    """(v, b) of the hot words among the replies."""
+    wanted = np.unique(hot >> _U(32)).astype(np.uint32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for v, b in zip(batch.column("v").to_pylist(), batch.column("b").to_pylist()):
+                v, _, at = np.intersect1d(wanted, _unzip(v, np.uint32), assume_unique=True, return_indices=True)
+                yield pa.RecordBatch.from_arrays([pa.array(v.astype(np.int64)), pa.array(_unzip(b, np.float32)[at].astype(float))], ["v", "b"])
 
     return run
 
@@ -266,14 +298,15 @@ def _build(stats: dict, hot: tuple[np.ndarray, np.ndarray], least: int):
         row = merged.iloc[0]
         words = np.frombuffer(row["word"], _U)
         count = _totals(words, np.frombuffer(row["count"], np.int64), hot)
-        contexts = contexts.sort_values("v")
-        v, cv, b = contexts["v"].to_numpy(np.int64), contexts["cv"].to_numpy(float), contexts["b"].to_numpy(float)
+        contexts = contexts.sort_values("lot")
+        v, cv, b = (np.concatenate([_unzip(x, k) for x in contexts[c]]) for c, k in (("v", np.uint32), ("cv", np.int64), ("b", np.float32)))
+        b = b.astype(float)
         at, context, n = np.frombuffer(row["at"], np.int32).astype(np.int64), np.frombuffer(row["context"], np.uint32), np.frombuffer(row["pairs"], np.int64)
         kept = np.flatnonzero(n >= least)
         at, context, n = at[kept], context[kept], n[kept]
-        c = np.searchsorted(v, context.astype(np.int64))
+        c = np.searchsorted(v, context)
         p = (n - stats["discount"]) / cv[c] + 10.0 ** b[c] * (count[at] - stats["unigram"]) / max(1, stats["tokens"])
-        backoff = b[np.searchsorted(v, (words >> _U(32)).astype(np.int64))]
+        backoff = b[np.searchsorted(v, (words >> _U(32)).astype(np.uint32))]
         return pd.DataFrame([{"shard": int(row["shard"]), "data": Trie.encode(words, count, at, context, backoff, np.log10(p) - b[c])}])
 
     return run
@@ -294,19 +327,15 @@ def train(rows: DataFrame, bits: int, hot: np.ndarray, least_pairs: int = 1) ->
             stats["w2"] -= r["w2"] - (r["n"] == 2)
     stats |= {"bits": bits, "discount": _discount(stats["p1"], stats["p2"]), "unigram": _discount(stats["w1"], stats["w2"])}
     stats["unknown"] = stats["unigram"] * stats["words"] / stats["tokens"] if stats["tokens"] else 1.0
-    here = written(shards.select("shard", "word", "context", "pairs").mapInArrow(_context_rows(least_pairs), "shard int, v long, n long, kinds long, gone long"))
-    sums = here.groupBy("v").agg(F.sum("n").alias("cv"), F.sum("kinds").alias("kinds"), F.sum("gone").alias("gone"), F.count(F.lit(1)).alias("n"))
-    # what kept pairs do not hold backs off; a word that is never a context leaves all to the unigram
-    left = F.when(F.col("cv") == 0, 1.0).otherwise(F.greatest(F.lit(1e-6), (F.col("kinds") * stats["discount"] + F.col("gone")) / F.col("cv")))
-    context = written(sums.select("v", "cv", F.log10(left).alias("b"), "n"))
-    some, every = hot_salted(here.select("shard", "v"), context, "v", "n", "shard")
-    known = some.join(every, ["v", "_lk_salt"]).select("shard", "v", "cv", "b")
+    asked = shards.select("shard", "word", "context", "pairs").mapInArrow(_requests(max(3, bits - 2), least_pairs), REQUEST)
+    replies = written(asked.groupBy("lot").applyInPandas(_replies(stats["discount"]), REPLY))
     stats["hot"] = (*totals, np.zeros(len(hot)))
     if len(hot):  # known in every shard, also where none of their pairs lies
-        weights = {r["v"]: r["b"] for r in context.where(F.col("v").isin((hot >> _U(32)).tolist())).select("v", "b").collect()}
+        found = replies.select("v", "b").mapInArrow(_weights(hot), "v long, b double").groupBy("v").agg(F.max("b").alias("b"))
+        weights = {r["v"]: r["b"] for r in found.collect()}  # HOT_SHARE rows at most
         stats["hot"][2][:] = [weights.get(v, 0.0) for v in (hot >> _U(32)).tolist()]
     trie = (shards.select("shard", "word", "count", "at", "context", "pairs").groupBy("shard")
-            .cogroup(known.groupBy("shard")).applyInPandas(_build(stats, totals, least_pairs), "shard int, data binary"))
+            .cogroup(replies.groupBy("shard")).applyInPandas(_build(stats, totals, least_pairs), "shard int, data binary"))
     return written(trie), stats
 
 
@@ -440,7 +469,9 @@ def score_texts(df: DataFrame, held_out: tuple[int, int] = HELD_OUT, id_col: str
     rows = rows.withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % mod == rest)
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = max(3, (size // shard_bytes).bit_length())
-    common = rows.select("doc_id", "text").mapInArrow(_common_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= hot_least)
+    # which words are hot only says how the work is dealt: no count rests on it, and a sixteenth of the rows tells
+    some = rows.where(F.xxhash64("doc_id", "text") % DEALING == 0)
+    common = some.select("doc_id", "text").mapInArrow(_common_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") * DEALING >= hot_least)
     hot = np.sort(np.array([r["word"] for r in common.orderBy(F.desc("n"), "word").limit(HOT_SHARE).collect()], np.int64).view(_U))
     trie, stats = train(rows.where("not held_out").select("doc_id", "text"), bits, hot, least_pairs)
     asked = rows.mapInArrow(_ask(bits, hot), QUERIES)

@@ -180,7 +180,8 @@ def test_added_tokens_are_one_id(spark):
         assert (r.start, r.length, r.doc_tokens, r.ids_crc32) == (0, len(ids), len(ids), zlib.crc32(ids.tobytes()))
 
 
-def test_language_model(spark, docs, plain, rows):
+def test_language_model(spark, docs, plain, rows, monkeypatch):
+    monkeypatch.setattr(lm, "DEALING", 1)
     got = by_id(lm.score_texts(docs))
     tokens = lambda t: [w.translate({c: c + 32 for c in range(65, 91)}) for w in words(t)] + ["\0"]
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
@@ -199,7 +200,7 @@ def test_language_model(spark, docs, plain, rows):
     assert lm.score_texts(empty(spark)).count() == 0
 
 
-def test_scores_by_brute_force(spark):
+def test_scores_by_brute_force(spark, monkeypatch):
     """The interpolated model, computed from plain counts; codes cost a little precision."""
     rnd = random.Random(13)
     vocabulary = [f"w{k}" for k in range(40)]
@@ -218,6 +219,7 @@ def test_scores_by_brute_force(spark):
         return alone if v not in after else max(pairs[v, w] - d, 0) / after[v] + d * kinds[v] / after[v] * alone
 
     assert all(math.isclose(sum(p(v, w) for w in [*count, "?"]), 1, rel_tol=1e-9) for v in [*count, "\0"])
+    monkeypatch.setattr(lm, "DEALING", 1)
     for hot in (lm.HOT_LEAST, 50):
         got = by_id(lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), hot_least=hot))
         for i, t in own.items():
