@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: The white space that counts when identifiers are compared.
 WHITE = r"[\t\n\x0B\f\r    -     　﻿]"
 #: Contact patterns.
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-PHONE = r"(?<![\w.])\+?\(?\d[\d\s().\-/]{6,}\d"
-#: Latin letters with marks, and what is left without them.
-MARKED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+"
+PHONE = r"(?<![\w@.])(\+\d[\d\s().-]{6,18}\d|\(?\d{2,5}\)?[\s.-]\d[\d\s().-]{4,17}\d)(?![\w@])"
+#: The fewest digits of a phone number, and the combining marks that folding drops.
+PHONE_DIGITS = 8
+MARKS = ("\u0300", "\u036f")
+
+
+@functools.cache
+def marked_letters() -> tuple[str, str]:
+    """Letters of the basic plane that lose a mark when decomposed, and what is left of each."""
+    pairs = []
+    for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x10000)]):
+        bare = unicodedata.normalize("NFC", "".join(x for x in unicodedata.normalize("NFD", c) if not MARKS[0] <= x <= MARKS[1]))
+        if bare != c and len(bare) == 1:
+            pairs.append((c, bare))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
 def trimmed(x: Column) -> Column:
@@ -56,14 +70,14 @@ def typed_value(kind: Column, value: Column) -> Column:
 
 
 def accent_folded(x: Column) -> Column:
-    """Without marks: precomposed Latin letters, and combining marks dropped."""
-    return F.regexp_replace(F.translate(x, MARKED, PLAIN), r"[̀-ͯ]", "")
+    """Without marks: precomposed letters of any script, and combining marks dropped."""
+    return F.regexp_replace(F.translate(x, *marked_letters()), f"[{MARKS[0]}-{MARKS[1]}]", "")
 
 
 def match_form(x: Column) -> Column:
     y = F.lower(accent_folded(x))
-    y = F.regexp_replace(F.regexp_replace(y, "[-_]+", " "), r"[^\p{L}\p{N}\s]+", " ")
-    return trimmed(F.regexp_replace(y, r"\s+", " "))
+    y = F.regexp_replace(F.regexp_replace(y, "[-_]+", " "), rf"[^\p{{L}}\p{{N}}{WHITE[1:-1]}]+", " ")
+    return spaced(y)
 
 
 def tokens(x: Column) -> Column:
@@ -108,10 +122,11 @@ def redact_emails(x: Column) -> Column:
 
 
 def redact_phones(x: Column) -> Column:
-    """Phone-like runs with eight digits or more; longest first, so none is cut by a shorter one."""
-    found = F.filter(F.array_distinct(F.regexp_extract_all(x, F.lit(PHONE), F.lit(0))), lambda c: F.char_length(F.regexp_replace(c, r"\D", "")) >= 8)
-    found = F.array_sort(found, lambda a, b: F.char_length(b) - F.char_length(a))
-    return F.aggregate(found, x, lambda acc, c: F.replace(acc, c, F.lit("[PHONE]")))
+    """Phone-like runs with enough digits, each where it stands: equal digits elsewhere stay."""
+    found, between = F.regexp_extract_all(x, F.lit(PHONE), F.lit(0)), F.split(x, PHONE, -1)
+    marked = F.transform(found, lambda c: F.when(F.char_length(F.regexp_replace(c, r"\D", "")) >= PHONE_DIGITS, "[PHONE]").otherwise(c))
+    parts = F.transform(F.arrays_zip(between.alias("gap"), marked.alias("hit")), lambda p: F.concat(p["gap"], F.coalesce(p["hit"], F.lit(""))))
+    return F.when(x.isNotNull(), F.array_join(parts, ""))
 
 
 def redact(x: Column) -> Column:

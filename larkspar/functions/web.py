@@ -6,7 +6,6 @@ import codecs
 import ipaddress
 import re
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +27,8 @@ ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp":
 BINARY = r"(?i)\.(pdf|docx?|xlsx?|pptx?|zip|rar|7z|jpe?g|png|gif|svg|mp4|mp3|csv)$"
 HTML_TYPES = ["text/html", "application/xhtml+xml"]
 #: Subdomain labels of services that are not websites of an organisation.
-SERVICES = ["mail", "webmail", "login", "sso", "cas", "auth", "moodle", "elearning", "library", "intranet", "portal"]
+SERVICES = ["moodle", "ent", "intranet", "mondossierweb", "webmail", "mail", "smtp", "imap", "vpn", "sso", "cas", "ldap", "wifi", "glpi", "grr", "workflow",
+            "dsi", "git", "gitlab", "nextcloud", "owncloud", "bbb", "apps", "api", "cdn", "static", "assets"]
 
 
 def host(url: Column) -> Column:
@@ -140,15 +140,6 @@ def entities(x: Column) -> Column:
     return F.when(F.instr(x, "&#") > 0, F.array_join(both, "")).otherwise(named_entities(x))
 
 
-@F.pandas_udf(T.StringType())
-def numeric_entities(column: pd.Series) -> pd.Series:
-    def one(m: re.Match) -> str:
-        n = int(m[1][1:], 16) if m[1][0] in "xX" else int(m[1])
-        return chr(n) if n < 0x110000 and not 0xD800 <= n < 0xE000 else m[0]
-
-    return column.map(lambda x: re.sub(r"&#([xX][0-9a-fA-F]+|[0-9]+);", one, x) if x is not None and "&#" in x else x)
-
-
 def html_text(html: Column) -> Column:
     lines = F.split(entities(F.regexp_replace(F.regexp_replace(html, rf"(?i)</?({BLOCKS})\b[^>]*>", "\n"), "<[^>]+>", " ")), "\n")
     return F.array_join(F.filter(F.transform(lines, spaced), lambda x: x != ""), "\n")
@@ -159,7 +150,8 @@ def title(html: Column) -> Column:
 
 
 def declared_language(html: Column) -> Column:
-    return F.nullif(F.regexp_extract(html, r"""(?is)<html[^>]*\blang=["']([^"']+)["']""", 1), F.lit(""))
+    tag = trimmed(F.regexp_extract(html, r"""(?is)<html\b[^>]*\blang\s*=\s*["']([^"']+)["']""", 1))
+    return F.when(tag.rlike("^[A-Za-z0-9-]{1,35}$"), tag)
 
 
 def headings(html: Column) -> Column:
@@ -171,11 +163,23 @@ def headings(html: Column) -> Column:
                     lambda h: h["text"] != "")
 
 
+#: The main element, what carries its role (up to the first end of its own tag), an article: group 2 is the content.
+CONTAINERS = [r"(?is)<(main)\b[^>]*>(.*?)</main\s*>",
+              r"""(?is)<([a-z][a-z0-9]*)\b[^>]*\brole\s*=\s*["']main["'][^>]*>(.*?)(?:</\1\s*>|\z)""",
+              r"(?is)<(article)\b[^>]*>(.*?)</article\s*>"]
+
+
 def main_html(html: Column) -> Column:
-    """Main element, role, article or body: the first there is."""
+    """The first container there is, or the body, or all."""
     s = without_content_tags(html)
-    tries = [r"(?is)<main\b[^>]*>(.*?)</main\s*>", r"""(?is)<[a-z]+\b[^>]*role=["']main["'][^>]*>(.*)""", r"(?is)<article\b[^>]*>(.*?)</article\s*>", r"(?is)<body\b[^>]*>(.*?)</body\s*>"]
-    return F.coalesce(*[F.when(s.rlike(t), F.regexp_extract(s, t, 1)) for t in tries], s)
+    return F.coalesce(*[F.when(s.rlike(t), F.regexp_extract(s, t, 2)) for t in [*CONTAINERS, r"(?is)<(body)\b[^>]*>(.*?)</body\s*>"]], s)
+
+
+def main_method(html: Column) -> Column:
+    s, found = without_content_tags(html), F.lit(False)
+    for t in CONTAINERS:
+        found = found | s.rlike(t)
+    return F.when(found, "MAIN_ELEMENT").otherwise("FULL_BODY")
 
 
 def page_text(html: Column) -> Column:
@@ -189,7 +193,7 @@ def anchors(html: Column, most: int = 200) -> Column:
     href, text = (F.regexp_extract_all(s, F.lit(pattern), F.lit(k)) for k in (1, 2))
     both = F.transform(F.arrays_zip(href.alias("href"), text.alias("text")),
                        lambda a: F.struct(trimmed(entities(a["href"])).alias("href"), redact(html_text(a["text"])).alias("text")))
-    ok = lambda a: (a["href"] != "") & ~a["href"].rlike(r"(?i)^(mailto|tel|javascript|data|ftp):|^#|[<>]")
+    ok = lambda a: (a["href"] != "") & ~a["href"].rlike(r"(?i)^(mailto|tel|javascript|data|file|ftp):|^#|[<>]")
     return F.slice(F.filter(both, ok), 1, most)
 
 

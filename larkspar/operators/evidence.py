@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import web
+from .ordering import broadcast_if_small, written
 
 SHARE, LEAST_PAGES, MOST_CHARS = 0.45, 3, 40_000
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     h = F.col(html)
-    return pages.withColumns({"title": web.title(h), "declared_lang": web.declared_language(h), "headings": web.headings(h), "main_text": web.page_text(h)})
+    return pages.withColumns({"title": web.title(h), "declared_lang": web.declared_language(h), "headings": web.headings(h), "main_text": web.page_text(h), "method": web.main_method(h)})
 
 
 def chrome_lines(pages: DataFrame, group: str, text: str, page: str, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
@@ -23,14 +24,20 @@ def chrome_lines(pages: DataFrame, group: str, text: str, page: str, share: floa
     return n.join(sizes, group).where(F.col("n_pages") >= share * F.col("pages")).select(group, "line", "n_pages")
 
 
-def differenced(pages: DataFrame, group: str, text: str, page: str) -> DataFrame:
-    """pages with main text without its group's repeated lines (order and repeats kept), capped, labelled."""
-    chrome = chrome_lines(pages, group, text, page).groupBy(group).agg(F.collect_set("line").alias("_chrome"))
-    joined = pages.join(chrome, group, "left")
-    kept = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(F.coalesce("_chrome", F.array().cast("array<string>")), x))
-    out = F.array_join(kept, "\n")
-    return joined.withColumns({"main_text": F.substring(out, 1, MOST_CHARS), "truncated": F.char_length(out) > MOST_CHARS,
-                               "method": F.when(F.col("_chrome").isNull(), "FULL_BODY").otherwise("BOILERPLATE_DIFFERENCED")}).drop("_chrome")
+def differenced(pages: DataFrame, group: str, text: str, page: str, method: str | None = None) -> DataFrame:
+    """pages with main text without its group's repeated lines (order and repeats kept), capped, labelled.
+
+    page is a key of pages; method, if given, is the column that names how the text was found. Lines meet the repeated
+    ones by an anti-join on (group, line), so a host's lines are never gathered; only a page's own lines are.
+    """
+    lines = pages.select(group, page, F.posexplode(F.split(text, "\n")).alias("_at", "_line"))
+    chrome = written(chrome_lines(pages, group, text, page).select(group, F.col("line").alias("_line")))
+    kept = lines.join(broadcast_if_small(chrome), [group, "_line"], "left_anti").groupBy(page).agg(F.sort_array(F.collect_list(F.struct("_at", "_line"))).alias("_kept"))
+    joined = pages.join(kept, page, "left").join(broadcast_if_small(written(chrome.select(group, F.lit(True).alias("_some")).distinct())), group, "left")
+    own = F.col(method) if method else F.lit("FULL_BODY")
+    label = F.when(F.col("_some").isNull(), own).when(own == "MAIN_ELEMENT", "MAIN_ELEMENT_AND_DIFFERENCED").otherwise("BOILERPLATE_DIFFERENCED")
+    out = F.when(F.col(text).isNotNull(), F.coalesce(F.array_join(F.transform("_kept", lambda x: x["_line"]), "\n"), F.lit("")))
+    return joined.withColumns({"main_text": F.substring(out, 1, MOST_CHARS), "truncated": F.char_length(out) > MOST_CHARS, "method": label}).drop("_kept", "_some")
 
 
 def eligibility(status: str = "http_status", kind: str = "content_type", size: str = "byte_count"):

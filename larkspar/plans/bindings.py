@@ -244,7 +244,7 @@ def _clean(x):
     return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
 
 
-@query("page_title_lang", rf"""SELECT page_id, {_clean("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title, nullif(regexp_extract(html, '(?is)<html[^>]*\blang=["'']([^"'']+)["'']', 1), '') AS lang FROM pages""")
+@query("page_title_lang", rf"""SELECT page_id, {_clean("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title, regexp_extract(nullif(trim(regexp_extract(html, '(?is)<html\b[^>]*\blang\s*=\s*["'']([^"'']+)["'']', 1)), ''), '^[A-Za-z0-9-]+$') AS lang FROM pages""")
 def page_title_lang(spark, d):
     h = F.col("html")
     return table(spark, d, "pages").select("page_id", web.title(h).alias("title"), web.declared_language(h).alias("lang"))
@@ -273,8 +273,9 @@ def chrome_lines(spark, d):
 
 @query("page_differencing")
 def page_differencing(spark, d):
-    pages = table(spark, d, "pages").select("page_id", web.host(F.col("url")).alias("host"), web.page_text(F.col("html")).alias("text"))
-    return evidence.differenced(pages, "host", "text", "page_id").select("page_id", "method", "truncated", F.char_length("main_text").alias("main_text_chars"))
+    h = F.col("html")
+    pages = table(spark, d, "pages").select("page_id", web.host(F.col("url")).alias("host"), web.page_text(h).alias("text"), web.main_method(h).alias("found"))
+    return evidence.differenced(pages, "host", "text", "page_id", "found").select("page_id", "method", "truncated", F.char_length("main_text").alias("main_text_chars"))
 
 
 @query("redact_emails", rf"SELECT doc_id, sha256(regexp_replace(text, '{text.EMAIL}', '[EMAIL]', 'g')) AS redacted_sha256 FROM documents")
@@ -302,7 +303,7 @@ def _scored(spark, d):
     return table(spark, d, "documents").select("doc_id", "source", scoring.lexicon_score(form, _LEXICON).cast("long").alias("score"))
 
 
-_FORM = f"' ' || trim(regexp_replace(regexp_replace(regexp_replace(lower(translate(text, '{text.MARKED}', '{text.PLAIN}')), '[-_]+', ' ', 'g'), '[^\\p{{L}}\\p{{N}}\\s]+', ' ', 'g'), '\\s+', ' ', 'g')) || ' '"
+_FORM = f"' ' || trim(regexp_replace(regexp_replace(regexp_replace(lower(strip_accents(text)), '[-_]+', ' ', 'g'), '[^\\p{{L}}\\p{{N}}\\s]+', ' ', 'g'), '\\s+', ' ', 'g')) || ' '"
 _SCORED = f"SELECT doc_id, source, ({' + '.join(f'CASE WHEN contains(f, {chr(39)} {p} {chr(39)}) THEN {w} ELSE 0 END' for p, w in _LEXICON)})::BIGINT AS score FROM (SELECT doc_id, source, {_FORM} AS f FROM documents)"
 
 

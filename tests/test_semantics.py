@@ -65,7 +65,7 @@ def test_page_functions(spark):
     h = F.col("h")
     row = spark.createDataFrame([(html,)], "h string").select(web.title(h).alias("t"), web.declared_language(h).alias("l"), web.headings(h).alias("hs"), web.page_text(h).alias("p"), web.anchors(h).alias("a")).first()
     assert (row.t, row.l, [(x.level, x.text) for x in row.hs], row.p, [(x.href, x.text) for x in row.a]) == ("A & B", "fr", [(2, "Un deux")], "Un deux\na\nb\ny m", [("/x", "y")])
-    assert spark.createDataFrame([("a&#233;&#x41;",)], "h string").select(web.numeric_entities("h")).first()[0] == "aéA"
+    assert one(spark, web.entities(F.col("c")), c="a&#233;&#x41;") == "aéA"
 
 
 def test_robots():
@@ -134,3 +134,35 @@ def test_pages_with_numeric_entities(spark):
     assert row.title == "L'École &#39; &lt;" and [tuple(h) for h in row.headings] == [(1, "Café \U0001f600")]
     assert row.text.split("\n")[1] == "A<B" + "C &#xD800; &#99999999999;"
     assert [tuple(a) for a in row.anchors] == [("/a?b=1&c", "it's")]
+
+
+def test_redaction_is_match_by_match(spark):
+    """A run without plus or separator is no phone number, and a match never reaches beyond its place."""
+    phones = lambda t: one(spark, text.redact_phones(F.col("c")), c=t)
+    assert phones("12345678 and AB12345678") == "12345678 and AB12345678"
+    assert phones("01 23 45 67 89 or (030) 123 4567, years 2019-2020") == "[PHONE] or [PHONE], years 2019-2020"
+    assert phones("+49 (0)30 1234567; x01 23 45 67 89") == "[PHONE]; x01 [PHONE]"
+    assert phones("in 2019, page 12") == "in 2019, page 12" and phones("") == ""
+    emails = lambda t: one(spark, text.redact_emails(F.col("c")), c=t)
+    assert emails("a.b@c-d.fr, .x@y.z and q@-r.fr") == "[EMAIL], .[EMAIL] and q@-r.fr"
+
+
+def test_folding_covers_every_precomposed_letter(spark):
+    fold = lambda t: one(spark, text.accent_folded(F.col("c")), c=t)
+    assert fold("řičný łódź škola ő ș Ňạẫ ή ё") == "ricny łodz skola o s Naa η е"
+    import unicodedata
+
+    for c in ("é", "Ǖ", "ệ", "ǘ", "ΐ", "й"):
+        want = unicodedata.normalize("NFC", "".join(x for x in unicodedata.normalize("NFD", c) if not "\u0300" <= x <= "\u036f"))
+        assert fold(c) == want == fold(unicodedata.normalize("NFD", c))
+
+
+def test_service_hosts_and_containers(spark):
+    service = lambda h: one(spark, web.is_service_host(F.col("c")), c=h)
+    assert [service(f"{x}.uni.fr") for x in ("ent", "smtp", "vpn", "espace-achat", "library", "portal", "espace", "mon-espace-x")] == [True] * 4 + [False] * 4
+    page = """<body><nav>n</nav><div role="main">one</div><p>two</p></body>"""
+    assert one(spark, web.main_html(F.col("c")), c=page) == "one" and one(spark, web.main_method(F.col("c")), c=page) == "MAIN_ELEMENT"
+    assert one(spark, web.main_html(F.col("c")), c='<body><p role="main">open') == "open"
+    assert one(spark, web.main_method(F.col("c")), c="<body>x</body>") == "FULL_BODY"
+    links = one(spark, web.anchors(F.col("c")), c='<a href="file:///etc/x">f</a><a href="/a">a</a>')
+    assert [x["href"] for x in links] == ["/a"]
