@@ -46,8 +46,8 @@ TARGET_RECALL = 0.995
 LOOSE = 0.64  # three standard deviations of 64 tokens below the threshold
 FAR = SIZE - math.ceil(LOOSE * SIZE)  # unequal tokens of a proposed pair, at most
 CONTRACTING = 4
-STRAYS = 512
-SETTLING = 1_024  # sets of a large bucket that strays are compared with in one task
+STRAYS = 2_048
+SETTLING = 2_048  # sets of a large bucket that strays are compared with in one task
 BLOCK_BYTES = 4 << 20  # of shingle sets
 BLOCK = 4_096  # sets
 TILE = 512
