@@ -11,7 +11,7 @@ import numpy as np
 
 _U = np.uint64
 _HEAD = "<QQQQQQ"  # values, low bits, greatest high part, bytes of low bits, high bits and samples
-BLOCK = 64  # bytes of high bits between two samples
+BLOCK = 16  # bytes of high bits between two samples
 LOT = 1 << 16  # queries worked at a time
 #: Place of the k-th set bit of a byte, lowest first.
 _PLACE = np.zeros((256, 8), np.uint8)
@@ -37,7 +37,9 @@ def encode(values: np.ndarray) -> bytes:
     unary[high + np.arange(n)] = True
     packed = np.packbits(unary, bitorder="little")
     ones = np.bitwise_count(packed).reshape(-1, BLOCK).sum(1, dtype=np.int64)
-    samples = (np.cumsum(ones) - ones).astype(np.int64)
+    samples = (np.cumsum(ones) - ones).astype(np.uint32)
+    if n >= 1 << 32:
+        raise ValueError("too long for 32-bit samples")
     pad = b"\0" * (-len(low) % 8)
     head = struct.pack(_HEAD, n, low_bits, last, len(low) + len(pad), len(packed), samples.nbytes)
     return head + low.tobytes() + pad + packed.tobytes() + samples.tobytes()
@@ -51,7 +53,7 @@ class Sequence:
         at += struct.calcsize(_HEAD)
         self.low = np.frombuffer(buffer, np.uint8, low, at)
         self.high = np.frombuffer(buffer, np.uint8, high, at + low)
-        self.ones = np.frombuffer(buffer, np.int64, samples // 8, at + low + high)
+        self.ones = np.frombuffer(buffer, np.uint32, samples // 4, at + low + high)
         self.end = at + low + high + samples
 
     def _lots(self, f, x: np.ndarray) -> np.ndarray:
@@ -59,13 +61,14 @@ class Sequence:
 
     def select(self, k: np.ndarray, bit: bool) -> np.ndarray:
         """Place of the k-th (from 0) such bit of the high part."""
-        before = self.ones if bit else np.arange(len(self.ones)) * 8 * BLOCK - self.ones
+        before = self.ones.astype(np.int64)
+        before = before if bit else np.arange(len(before)) * 8 * BLOCK - before
 
         def lot(k):
             block = np.searchsorted(before, k, "right") - 1
             held = self.high[block[:, None] * BLOCK + np.arange(BLOCK)]
             held = held if bit else ~held
-            seen = np.cumsum(np.bitwise_count(held), axis=1, dtype=np.int64)
+            seen = np.cumsum(np.bitwise_count(held), axis=1, dtype=np.uint8)  # 128 at most
             rest = k - before[block]
             byte = (seen <= rest[:, None]).sum(1)
             row = np.arange(len(k))

@@ -174,8 +174,8 @@ def _merge(group: pd.DataFrame) -> pd.DataFrame:
     count = np.bincount((key >> _U(32)).astype(np.int64), n, len(word)).astype(np.int64)
     return pd.DataFrame([{"shard": group["shard"].iloc[0], "tokens": int(count.sum()), "words": len(word), "w1": int((count == 1).sum()),
                           "w2": int((count == 2).sum()), "p1": int((n == 1).sum()), "p2": int((n == 2).sum()), "word": word.tobytes(),
-                          "count": count.tobytes(), "at": (key >> _U(32)).astype(np.int32).tobytes(),
-                          "context": key.astype(np.uint32).tobytes(), "pairs": n.tobytes()}])
+                          "count": _zip(count), "at": _zip((key >> _U(32)).astype(np.int32)),
+                          "context": key.astype(np.uint32).tobytes(), "pairs": _zip(n)}])
 
 
 def _discount(one: int, two: int) -> float:
@@ -191,7 +191,7 @@ def _requests(bits: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, word, context, n in zip(*(batch.column(c).to_pylist() for c in ("shard", "word", "context", "pairs"))):
-                n = np.frombuffer(n, np.int64)
+                n = _unzip(n, np.int64)
                 own = (np.frombuffer(word, _U) >> _U(32)).astype(np.uint32)
                 v, at = np.unique(np.concatenate([np.frombuffer(context, np.uint32), own]), return_inverse=True)
                 sums = [np.bincount(at[: len(n)], x, len(v)).astype(np.int64) for x in (n, n >= least, np.where(n < least, n, 0))]
@@ -297,11 +297,11 @@ def _build(stats: dict, hot: tuple[np.ndarray, np.ndarray], least: int):
             return pd.DataFrame({"shard": [], "data": []})
         row = merged.iloc[0]
         words = np.frombuffer(row["word"], _U)
-        count = _totals(words, np.frombuffer(row["count"], np.int64), hot)
+        count = _totals(words, _unzip(row["count"], np.int64), hot)
         contexts = contexts.sort_values("lot")
         v, cv, b = (np.concatenate([_unzip(x, k) for x in contexts[c]]) for c, k in (("v", np.uint32), ("cv", np.int64), ("b", np.float32)))
         b = b.astype(float)
-        at, context, n = np.frombuffer(row["at"], np.int32).astype(np.int64), np.frombuffer(row["context"], np.uint32), np.frombuffer(row["pairs"], np.int64)
+        at, context, n = _unzip(row["at"], np.int32).astype(np.int64), np.frombuffer(row["context"], np.uint32), _unzip(row["pairs"], np.int64)
         kept = np.flatnonzero(n >= least)
         at, context, n = at[kept], context[kept], n[kept]
         c = np.searchsorted(v, context)
@@ -344,7 +344,7 @@ def _hot_rows(hot: np.ndarray):
         for batch in batches:
             for word, count in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 _, k, at = np.intersect1d(hot, np.frombuffer(word, _U), assume_unique=True, return_indices=True)
-                yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(np.frombuffer(count, np.int64)[at])], ["k", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(_unzip(count, np.int64)[at])], ["k", "n"])
 
     return run
 
