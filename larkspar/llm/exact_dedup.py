@@ -6,7 +6,7 @@ tests each row's cells: a row with a cell that nobody else hit is certainly uniq
 straight through; only the possibly repeated rows shuffle, by digest, to be settled exactly. False
 positives of the filter cost a little shuffle and never change the result.
 
-The filter has 16 bits a row. Up to MAX_FILTER_BITS its bitmaps are broadcast. Beyond that no machine need
+The filter has 16 bits a row, or as few as 4 where MAX_FILTER_BITS, which are broadcast, give no more. Beyond that no machine need
 hold it: each bitmap meets, by a shuffle on its page number, the rows of digests and ids alone (under 100 bytes a
 row, no text). `exact_groups` reads the texts once whatever the size; `deduplicate` then shuffles each row's text
 once, by digest, since no bounded filter can tell the unique rows apart any more.
@@ -26,6 +26,7 @@ from ._common import fresh, quoted, written
 PAGE_BITS = 32_768  # of one bitmap as Spark's bitmap functions lay it out
 MAX_FILTER_BITS = 1 << 28  # of a broadcast filter: 32 MB
 BITS_PER_ROW = 16
+LEAST_BITS = 4  # a sixth of the unique rows pass for possible copies
 HOT_SHARE = 1_000  # a group with over 1/1000 of the candidate rows is hot; there are at most 1000
 
 
@@ -83,8 +84,9 @@ def _groups(candidates: DataFrame, id_name: str, digest: str) -> tuple[DataFrame
 
 
 def _plan(rows: int, most: int) -> tuple[int, bool]:
+    """Bits of the filter, and whether it is broadcast: with LEAST_BITS a row it still tells most unique rows apart."""
     bits = filter_bits(rows)
-    return bits, bits <= most
+    return (min(bits, max(most, PAGE_BITS)), True) if rows * LEAST_BITS <= most else (bits, False)
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bits: int = MAX_FILTER_BITS) -> DataFrame:
