@@ -369,7 +369,7 @@ def _ask(bits: int, hot: np.ndarray):
             for s, (a, b, c, d) in enumerate(zip(cut, cut[1:], use_cut, use_cut[1:])):
                 if b > a:
                     distinct, runs = _runs(word[a:b])
-                    rows.append((s, part, block, _zip(distinct), _zip(runs), context[a:b].tobytes(), _zip(uses[a:b].astype(np.uint32)), _zip(row[c:d]), _zip(n[c:d].astype(np.uint32)), table))
+                    rows.append((s, part, block, _zip(distinct), _zip(runs), context[a:b].tobytes(), _zip(uses[a:b].astype(np.uint32)), _zip(row[c:d].astype(np.uint16 if seen <= 1 << 16 else np.uint32)), _zip(n[c:d].astype(np.uint32)), table))
                     table = None  # goes with one of them
             return _batch(rows, QUERIES)
 
@@ -400,8 +400,10 @@ def _answer(stats: dict):
     unknown = np.log10(stats["unknown"])
 
     def lot(asked: pd.DataFrame, trie: Trie | None) -> list[tuple]:
-        parts = [(_unzip(w, _U), _unzip(r, np.uint32), np.frombuffer(c, np.uint32), _unzip(u, np.uint32), _unzip(x, np.uint32), _unzip(n, np.uint32))
-                 for w, r, c, u, x, n in zip(*(asked[k] for k in ("word", "runs", "context", "uses", "row", "n")))]
+        parts = []
+        for w, r, c, u, x, n in zip(*(asked[k] for k in ("word", "runs", "context", "uses", "row", "n"))):
+            n, x = _unzip(n, np.uint32), _unzip(x, np.uint8)
+            parts.append((_unzip(w, _U), _unzip(r, np.uint32), np.frombuffer(c, np.uint32), _unzip(u, np.uint32), x.view(np.uint16 if len(x) == 2 * len(n) else np.uint32).astype(np.uint32), n))
         words, runs, context, uses, row, n = (np.concatenate(x) for x in zip(*parts))
         rank = trie.find(words) if trie else np.full(len(words), -1)
         there = np.flatnonzero(rank >= 0)
