@@ -70,7 +70,8 @@ def test_exact_groups(spark, docs, rows):
     assert left.columns == docs.columns and left.count() == len(groups)
     beyond = exact_dedup.exact_groups(docs, most_bits=1).collect()  # the filter is not broadcast
     assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.text_sha256) for r in beyond) == want
-    assert sorted(map(str, exact_dedup.deduplicate(docs, most_bits=1).collect())) == sorted(map(str, left.collect()))
+    own = lambda df: sorted(str((r.doc_id, r.text)) for r in df.collect())  # noqa: E731  which of rows equal in both stays is open
+    assert own(exact_dedup.deduplicate(docs, most_bits=1)) == own(left)
     assert exact_dedup.exact_groups(empty(spark)).count() == 0 and exact_dedup.deduplicate(empty(spark)).count() == 0
 
 
