@@ -6,11 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text, web
 from ..operators import batching, claims, evaluation, evidence, graph, quality, reconcile, scoring, store
-from .catalog import QUERIES, SQL, query  # noqa: F401
-
-
-def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from . import records  # noqa: F401
+from .catalog import QUERIES, SQL, query, table  # noqa: F401
 
 
 # --- reconciliation: customers publish (key, nation), suppliers publish the same -----------------

@@ -6,6 +6,10 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
+def table(spark, sf_dir: str, name: str):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def query(name: str, sql: str | None = None):
     """Register a function (spark, sf_dir) -> DataFrame under a name, with its oracle."""
     def add(f):
