@@ -53,11 +53,15 @@ def quoted(name: str) -> str:
 BATCH_BYTES = 4 << 20
 
 
+#: Characters of a plan's description. The driver keeps one for each of its last thousand executions, and makes one anew whenever a stage of a plan ends.
+PLAN_CHARS = 4_096
+
+
 def lean_batches(spark: SparkSession) -> None:
-    """Bound the session's Arrow batches by BATCH_BYTES, unless it names a bound itself."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, None) is None:
-        spark.conf.set(key, str(BATCH_BYTES))
+    """Bound the session's Arrow batches by BATCH_BYTES and plan descriptions by PLAN_CHARS, unless it names bounds itself."""
+    for key, bound in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.maxPlanStringLength", PLAN_CHARS)):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, str(bound))
 
 
 def id_text(df: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
