@@ -13,9 +13,12 @@ from .catalog import QUERIES, SQL, query, table  # noqa: F401
 # --- reconciliation: customers publish (key, nation), suppliers publish the same -----------------
 
 
+def _published(spark, d):
+    return table(spark, d, "customer").select("c_custkey", F.col("c_custkey").alias("id1"), F.when(F.col("c_custkey") % 11 != 0, F.col("c_nationkey")).alias("id2"))
+
+
 def _reconciled(spark, d):
-    left = table(spark, d, "customer").select("c_custkey", F.col("c_custkey").alias("id1"), F.when(F.col("c_custkey") % 11 != 0, F.col("c_nationkey")).alias("id2"))
-    return reconcile.reconcile(left, "id1", "id2", _entities(spark, d), "s_suppkey", "ids1", "ids2")
+    return reconcile.reconcile(_published(spark, d), "id1", "id2", _entities(spark, d), "s_suppkey", "ids1", "ids2")
 
 
 def _entities(spark, d):
@@ -42,7 +45,7 @@ def _verdict(v, h):
 
 @query("reconcile_rows", _RECONCILED + f"SELECT c_custkey, {_verdict('id1', 'p')} AS first_verdict, {_verdict('id2', 'e')} AS second_verdict, len(e)::BIGINT AS n_second, verdict, grade FROM g")
 def reconcile_rows(spark, d):
-    return _reconciled(spark, d).select("c_custkey", "first_verdict", "second_verdict", F.size("second_hits").cast("long").alias("n_second"), "verdict", "grade")
+    return _reconciled(spark, d).select("c_custkey", "first_verdict", "second_verdict", F.col("second_n").alias("n_second"), "verdict", "grade")
 
 
 @query("reconcile_summary", _RECONCILED + """
@@ -63,7 +66,7 @@ def reconcile_grades(spark, d):
 @query("reverse_coverage", _RECONCILED + """, x AS (SELECT DISTINCT unnest(list_concat(p, e)) AS s FROM g)
 SELECT count(*) FILTER (s IS NOT NULL) AS reached, count(*) FILTER (s IS NULL) AS unreached FROM supplier LEFT JOIN x ON s_suppkey = s""")
 def reverse_coverage(spark, d):
-    return reconcile.reverse_coverage(_reconciled(spark, d), _entities(spark, d), "s_suppkey")
+    return reconcile.reverse_coverage(_published(spark, d), "id1", "id2", _entities(spark, d), "s_suppkey", "ids1", "ids2")
 
 
 @query("shared_identifiers", "SELECT s_nationkey AS value, count(DISTINCT s_suppkey) AS n_entities, min(s_suppkey) AS least, max(s_suppkey) AS greatest FROM supplier GROUP BY 1 HAVING count(DISTINCT s_suppkey) > 1")
@@ -98,11 +101,12 @@ def value_tally(spark, d):
     return reconcile.tally(table(spark, d, "pages").select(web.host(F.col("url")).alias("h")), "h")
 
 
-@query("domain_shape_overlap", """SELECT count(c_mktsegment) AS with_domain, count(*) FILTER (e IS NOT NULL) AS equals_entity, 0::BIGINT AS corroborated
-FROM customer LEFT JOIN (SELECT lower(p_type) AS f, min(p_partkey) AS e FROM part GROUP BY 1) ON lower(c_mktsegment) = f""")
+@query("domain_shape_overlap", _RECONCILED + """SELECT count(dom) AS with_domain, count(s) AS equals_entity, count(*) FILTER (list_contains(p, s) OR list_contains(e, s)) AS corroborated
+FROM (SELECT *, CASE WHEN c_custkey % 5 <> 0 THEN (c_custkey % 13)::VARCHAR END AS dom FROM g)
+LEFT JOIN (SELECT lower(s_suppkey::VARCHAR) AS f, min(s_suppkey) AS s FROM supplier GROUP BY 1) ON lower(dom) = f""")
 def domain_shape_overlap(spark, d):
-    rows = table(spark, d, "customer").withColumns({"first_hits": F.array().cast("array<string>"), "second_hits": F.array().cast("array<string>")})
-    return reconcile.domain_overlap(rows, "c_mktsegment", table(spark, d, "part"), "p_type", "p_partkey")
+    left = _published(spark, d).withColumn("dom", F.when(F.col("c_custkey") % 5 != 0, (F.col("c_custkey") % 13).cast("string")))
+    return reconcile.domain_overlap(left, "dom", "id1", "id2", _entities(spark, d), "s_suppkey", "s_suppkey", "ids1", "ids2")
 
 
 # --- website claims ------------------------------------------------------------------------------

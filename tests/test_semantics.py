@@ -51,6 +51,17 @@ def test_reconciliation_verdicts(spark):
     s = reconcile.summary(rows, 1).first()
     assert s.either == s.by_first + s.by_second - s.by_both and s.either + s.neither == s.comparable
     assert s.grade_unique + s.grade_ambiguous + s.grade_conflict + s.grade_no_match + s.unusable == s.total
+    assert sorted((r.k, r.hit) for r in reconcile.hits(rows.where("grade = 'AMBIGUOUS'"), "p", right, "id", "ps").collect()) == [("many", "u"), ("many", "v")]
+    assert reconcile.reverse_coverage(left, "p", "e", right, "id", "ps", "es").first()[:] == (4, 0)
+
+
+def test_reconciliation_of_repeated_and_null_entities(spark):
+    left = spark.createDataFrame([("split", "1", "A"), ("apart", "2", "B"), ("nulls", None, None)], "k string, p string, e string")
+    right = spark.createDataFrame([("x", ["1", "1", None], []), ("x", [], ["A"]), ("y", ["2"], None), ("z", None, ["B"]), (None, ["1"], ["B"])], "id string, ps array<string>, es array<string>")
+    rows = {r.k: (r.first_n, r.second_n, r.verdict) for r in reconcile.reconcile(left, "p", "e", right, "id", "ps", "es").collect()}
+    assert rows == {"split": (1, 1, "MATCH_BOTH_AGREE"), "apart": (1, 1, "MATCH_BOTH_CONFLICT"), "nulls": (0, 0, "NO_MATCH")}
+    plan = reconcile.reconcile(left, "p", "e", right, "id", "ps", "es")._jdf.queryExecution().toString()
+    assert "collect_set" not in plan and "collect_list" not in plan
 
 
 def test_rule_pack(spark):
