@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,8 @@ def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/larkspar/{uuid.uuid4().hex}"
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    with brief_plans(spark):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -57,11 +60,25 @@ BATCH_BYTES = 4 << 20
 PLAN_CHARS = 4_096
 
 
+@contextmanager
+def brief_plans(spark: SparkSession) -> Iterator[None]:
+    """Within, plan descriptions are bounded by PLAN_CHARS, unless the session names a bound itself; other queries of the session keep theirs whole."""
+    key = "spark.sql.maxPlanStringLength"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, str(PLAN_CHARS))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def lean_batches(spark: SparkSession) -> None:
-    """Bound the session's Arrow batches by BATCH_BYTES and plan descriptions by PLAN_CHARS, unless it names bounds itself."""
-    for key, bound in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.maxPlanStringLength", PLAN_CHARS)):
-        if spark.conf.get(key, None) is None:
-            spark.conf.set(key, str(bound))
+    """Bound the session's Arrow batches by BATCH_BYTES, unless it names a bound itself."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def id_text(df: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
