@@ -7,9 +7,13 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._vec import roots
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor and the driver can reach.
@@ -141,26 +145,40 @@ def keyed_join(rows: DataFrame, side: DataFrame, key: str, n: str, spread: str,
     return left.join(right.drop(n), [key, "_lk_salt"]).drop("_lk_salt")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, root) of every vertex of edges (a, b): root is the least id it is connected to.
+#: Edges whose components the driver finds by itself: 8 MB, less than a broadcast side.
+LOCAL_EDGES = BROADCAST_ROWS // 2
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+    """The vertices of the edges (a, b) that are not the least of their component, and that least one."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root = roots(len(names), at[: len(a)], at[len(a) :])
+    tied = np.flatnonzero(root != np.arange(len(names)))
+    return [names[tied], names[root[tied]]]
+
 
-    Alternating large-star and small-star rounds, each written to the shared folder. Vertices are grouped with
-    partial aggregation, and a star's centre, which a third of all edges may share, is joined by `keyed_join`.
+def components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
+    """(id, root) of every vertex of edges (a, b) but the roots: root is the least id it is connected to.
+
+    Alternating large-star and small-star rounds, each written to the shared folder, as long as there are more than
+    `local_edges` edges; the driver ends what is left, since rounds over few rows cost it more in plans, stages
+    and broadcasts than the rows take. Vertices are grouped with partial aggregation, and a star's centre,
+    which a third of all edges may share, is joined by `keyed_join`.
     """
     links = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
     state, seen = (links.count(),), None
-    while state[0] and state != seen:
-        few = state[0] <= BROADCAST_ROWS // 2  # so are its vertices
-
-        def joined(rows: DataFrame, side: DataFrame) -> DataFrame:
-            return rows.join(F.broadcast(side.drop("n")), "u") if few else keyed_join(rows, written(side), "u", "n", "v")  # noqa: B023
-
+    while state[0] > local_edges and state != seen:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        large = joined(both.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        large = large if few else written(large)
-        down = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        small = joined(large, down).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = keyed_join(both.where("v > u"), written(least), "u", "n", "v").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = written(large)
+        down = written(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
+        small = keyed_join(large, down, "u", "n", "v").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = written(small.unionByName(down.select("u", F.col("m").alias("v"))).where("u != v").distinct())
         seen, state = state, tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    return links.select(F.col("u").alias("id"), F.col("v").alias("root"))
+    found = links.select(F.col("u").alias("id"), F.col("v").alias("root"))
+    if not state[0] or state[0] > local_edges:
+        return found
+    held = links.toArrow()
+    tied = pa.table(forest(*(held.column(c).to_numpy() for c in ("u", "v"))), names=["id", "root"])
+    return written(links.sparkSession.createDataFrame(tied, found.schema))

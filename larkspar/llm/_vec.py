@@ -291,3 +291,21 @@ def model_ids(tokenizer) -> Callable[[list[str]], list]:
         return [[t.id for t in model.tokenize(p.encode().decode("latin-1").translate(letters))] for p in pieces]
 
     return encode
+
+
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least index connected to each of n vertices by the edges (a, b)."""
+    root = np.arange(n)
+    while len(a):
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        open_ = low != high
+        if not open_.any():
+            break
+        a, b, low, high = a[open_], b[open_], low[open_], high[open_]
+        np.minimum.at(root, high, low)
+        while True:  # follow the pointers to their ends
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+    return root

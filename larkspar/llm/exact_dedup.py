@@ -59,7 +59,7 @@ def _bit_set(bitmap: Column, position: Column) -> Column:
 
 def with_candidate_flag(df: DataFrame, text: Column, flag: str, bits: int, broadcast: bool = True) -> DataFrame:
     """df with a boolean column: may another row have the same text? False is certain."""
-    pages = repeated_cells(df, text, bits)
+    pages = written(repeated_cells(df, text, bits))  # once, not in every branch of the plans that use the flag
     out, names = df, []
     for i, cell in enumerate(_cells(text, bits)):
         c, page, bitmap = fresh(out, f"cell{i}", f"page{i}", f"bitmap{i}")

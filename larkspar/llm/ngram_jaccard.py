@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _vec
-from ._common import BROADCAST_ROWS, bounded, components, fresh, hot_salted, id_text, keyed_join, quoted, text_key, with_first, written
+from ._common import BROADCAST_ROWS, bounded, components, forest, fresh, hot_salted, id_text, keyed_join, quoted, text_key, with_first, written
+from ._vec import roots
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -146,24 +147,6 @@ def _next_step(similarity: float):
     return run
 
 
-def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least index connected to each of n vertices by the edges (a, b)."""
-    root = np.arange(n)
-    while len(a):
-        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
-        open_ = low != high
-        if not open_.any():
-            break
-        a, b, low, high = a[open_], b[open_], low[open_], high[open_]
-        np.minimum.at(root, high, low)
-        while True:  # follow the pointers to their ends
-            up = root[root]
-            if (up == root).all():
-                break
-            root = up
-    return root
-
-
 def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables of whole groups, from batches sorted by key; a group is never cut."""
     held: list[pa.RecordBatch] = []
@@ -183,10 +166,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 
 def _forest(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     """A spanning forest of the edges (a, b)."""
-    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    root = roots(len(names), at[: len(a)], at[len(a) :])
-    tied = np.flatnonzero(root != np.arange(len(names)))
-    return pa.RecordBatch.from_arrays([pa.array(names[tied]), pa.array(names[root[tied]])], ["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in forest(a, b)], ["a", "b"])
 
 
 def _proposals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,11 +379,11 @@ def loose_components(sketches: DataFrame, similarity: float = SIMILARITY) -> Dat
         return written(rows.join(bounded(known), "id", "left").withColumn("root", F.coalesce("root", "id")))
 
     edges, _, _ = _wave(sketches.withColumn("root", F.col("id")), [1 << 20 | r for r in range(CONTRACTING)], similarity, split=False)
-    joined = written(components(edges))
+    joined = components(edges)
     done, need, some = 0, RUNS, sketches
     while done < need:
         edges, deep, depth = _wave(rooted(some, joined), list(range(done, need)), similarity)
-        joined = written(components(edges.unionByName(joined.select(F.col("id").alias("a"), F.col("root").alias("b")))))
+        joined = components(edges.unionByName(joined.select(F.col("id").alias("a"), F.col("root").alias("b"))))
         done = need
         if deep is not None:  # only pairs of these sets may have met too seldom
             need, some = max(need, runs_for(depth)), sketches.join(bounded(deep.distinct()), "id", "left_semi")
