@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import redact, spaced, trimmed
+from .text import let, redact, spaced, trimmed
 
 #: A frozen part of the public suffix list, longest first within a name.
 SUFFIX_VERSION = "frozen-1"
@@ -134,10 +134,13 @@ def entities(x: Column) -> Column:
         ok = (n < 0x110000) & ~n.between(0xD800, 0xDFFF)
         return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise(e)
 
-    found = F.transform(F.regexp_extract_all(x, pattern, F.lit(0)), one)
-    between = F.transform(F.split(x, pattern, -1), named_entities)
-    both = F.transform(F.arrays_zip(between.alias("gap"), found.alias("hit")), lambda p: F.concat(p["gap"], F.coalesce(p["hit"], F.lit(""))))
-    return F.when(F.instr(x, "&#") > 0, F.array_join(both, "")).otherwise(named_entities(x))
+    def decoded(x: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(x, pattern, F.lit(0)), one)
+        between = F.transform(F.split(x, pattern, -1), named_entities)
+        both = F.transform(F.arrays_zip(between.alias("gap"), found.alias("hit")), lambda p: F.concat(p["gap"], F.coalesce(p["hit"], F.lit(""))))
+        return F.when(F.instr(x, "&#") > 0, F.array_join(both, "")).when(F.instr(x, "&") > 0, named_entities(x)).otherwise(x)
+
+    return let(x, decoded)
 
 
 def html_text(html: Column) -> Column:
@@ -169,23 +172,37 @@ CONTAINERS = [r"(?is)<(main)\b[^>]*>(.*?)</main\s*>",
               r"(?is)<(article)\b[^>]*>(.*?)</article\s*>"]
 
 
+def _found(s: Column) -> Column:
+    """Does a page without content tags have a container?"""
+    found = F.lit(False)
+    for t in CONTAINERS:
+        found = found | s.rlike(t)
+    return found
+
+
+def _main(s: Column) -> Column:
+    """main_html of a page without content tags."""
+    return F.coalesce(*[F.when(s.rlike(t), F.regexp_extract(s, t, 2)) for t in [*CONTAINERS, r"(?is)<(body)\b[^>]*>(.*?)</body\s*>"]], s)
+
+
 def main_html(html: Column) -> Column:
     """The first container there is, or the body, or all."""
-    s = without_content_tags(html)
-    return F.coalesce(*[F.when(s.rlike(t), F.regexp_extract(s, t, 2)) for t in [*CONTAINERS, r"(?is)<(body)\b[^>]*>(.*?)</body\s*>"]], s)
+    return let(without_content_tags(html), _main)
 
 
 def main_method(html: Column) -> Column:
-    s, found = without_content_tags(html), F.lit(False)
-    for t in CONTAINERS:
-        found = found | s.rlike(t)
-    return F.when(found, "MAIN_ELEMENT").otherwise("FULL_BODY")
+    return let(without_content_tags(html), lambda s: F.when(_found(s), "MAIN_ELEMENT").otherwise("FULL_BODY"))
 
 
 def page_text(html: Column) -> Column:
     return redact(html_text(main_html(html)))
 
 
+def page_text_and_method(html: Column) -> Column:
+    """Struct text, method: page_text and main_method, with the content tags taken out once."""
+    return let(without_content_tags(html), lambda s: F.struct(redact(html_text(_main(s))).alias("text"), F.when(_found(s), "MAIN_ELEMENT").otherwise("FULL_BODY").alias("method")))
+
+
 def anchors(html: Column, most: int = 200) -> Column:
     """(href, text) of the page's links, dropped schemes and artefacts aside, the first `most`."""
     s = without_content_tags(html)

@@ -28,16 +28,18 @@ def differenced(pages: DataFrame, group: str, text: str, page: str, method: str
     """pages with main text without its group's repeated lines (order and repeats kept), capped, labelled.
 
     page is a key of pages; method, if given, is the column that names how the text was found. Lines meet the repeated
-    ones by an anti-join on (group, line), so a host's lines are never gathered; only a page's own lines are.
+    ones by an anti-join on (group, line), so a host's lines are never gathered; only a page's own lines are. pages is
+    written first: what finds its texts would run once for the lines, once for the repeated ones and once for the rows.
     """
+    pages = written(pages)
     lines = pages.select(group, page, F.posexplode(F.split(text, "\n")).alias("_at", "_line"))
     chrome = written(chrome_lines(pages, group, text, page).select(group, F.col("line").alias("_line")))
     kept = lines.join(broadcast_if_small(chrome), [group, "_line"], "left_anti").groupBy(page).agg(F.sort_array(F.collect_list(F.struct("_at", "_line"))).alias("_kept"))
-    joined = pages.join(kept, page, "left").join(broadcast_if_small(written(chrome.select(group, F.lit(True).alias("_some")).distinct())), group, "left")
+    joined = pages.withColumn("_text", F.col(text).isNotNull()).join(kept, page, "left").join(broadcast_if_small(written(chrome.select(group, F.lit(True).alias("_some")).distinct())), group, "left")
     own = F.col(method) if method else F.lit("FULL_BODY")
     label = F.when(F.col("_some").isNull(), own).when(own == "MAIN_ELEMENT", "MAIN_ELEMENT_AND_DIFFERENCED").otherwise("BOILERPLATE_DIFFERENCED")
-    out = F.when(F.col(text).isNotNull(), F.coalesce(F.array_join(F.transform("_kept", lambda x: x["_line"]), "\n"), F.lit("")))
-    return joined.withColumns({"main_text": F.substring(out, 1, MOST_CHARS), "truncated": F.char_length(out) > MOST_CHARS, "method": label}).drop("_kept", "_some")
+    out = F.when(F.col("_text"), F.coalesce(F.array_join(F.transform("_kept", lambda x: x["_line"]), "\n"), F.lit("")))
+    return joined.withColumns({"main_text": F.substring(out, 1, MOST_CHARS), "truncated": F.char_length(out) > MOST_CHARS, "method": label}).drop("_kept", "_some", "_text")
 
 
 def eligibility(status: str = "http_status", kind: str = "content_type", size: str = "byte_count"):

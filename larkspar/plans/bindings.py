@@ -274,8 +274,7 @@ def chrome_lines(spark, d):
 
 @query("page_differencing")
 def page_differencing(spark, d):
-    h = F.col("html")
-    pages = table(spark, d, "pages").select("page_id", web.host(F.col("url")).alias("host"), web.page_text(h).alias("text"), web.main_method(h).alias("found"))
+    pages = table(spark, d, "pages").select("page_id", web.host(F.col("url")).alias("host"), web.page_text_and_method(F.col("html")).alias("p")).select("page_id", "host", "p.text", F.col("p.method").alias("found"))
     return evidence.differenced(pages, "host", "text", "page_id", "found").select("page_id", "method", "truncated", F.char_length("main_text").alias("main_text_chars"))
 
 
